@@ -8,30 +8,55 @@ from corvane.functions.measures import pmi as pmi_of
 from corvane.functions.tokens import distinct_tokens
 from corvane.operators.words import document_frequency
 from corvane.plans.scratch import materialize
-from corvane.plans.skew import TASK_ROWS, skew_join
+from corvane.plans.skew import TASK_ROWS, hot_keys, skew_join, spread_rows
 
 
 def _counted_pairs(lines: DataFrame, min_support: int, task_rows: int) -> DataFrame:
-    """(a, df_a, b, df_b, n) for a < b and n >= min_support.
+    """(a, df_a, b, df_b, n): unordered pairs of terms found in n >= min_support lines.
 
     A pair cannot be in more lines than either of its terms, so rare terms are
     dropped from the lines before any pair is formed; no pair that counts is lost.
-    The document frequencies ride along with the terms, which saves joining the
-    pairs to the dictionary afterwards.
+    Terms travel as numbers, and a term is shuffled once per line with the list of
+    its partners there instead of once per pair. The rarer term of a pair owns it:
+    the commoner a term, the fewer partners follow it in a line.
     """
-    terms = materialize(document_frequency(lines).where(F.col("df") >= min_support), "terms")
+    number = F.monotonically_increasing_id()
+    terms = materialize(document_frequency(lines).where(F.col("df") >= min_support)
+                        .withColumn("number", number), "terms")
     found = lines.select("docno", F.explode(distinct_tokens("text")).alias("term"))
     kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"],
                      task_rows=task_rows)
-    # One array per line, in term order, so the earlier term of a pair is the lesser.
-    rows = (kept.groupBy("docno")
-            .agg(F.sort_array(F.collect_list(F.struct("term", "df"))).alias("terms"))
-            .select(F.posexplode("terms").alias("i", "x"), "terms")
-            .select("x", F.explode(F.slice("terms", F.col("i") + 2, F.size("terms"))).alias("y")))
-    return (rows.groupBy(F.col("x.term").alias("a"), F.col("x.df").alias("df_a"),
-                         F.col("y.term").alias("b"), F.col("y.df").alias("df_b"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= min_support))
+    rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"]
+    partners = F.slice("terms", F.col("i") + 2, F.size("terms"))
+    owned = (kept.groupBy("docno").agg(rising.alias("terms"))
+             .select("docno", F.posexplode("terms").alias("i", "x"), "terms")
+             .select("docno", "x", partners.alias("ys")))
+    hot = hot_keys(terms.select(F.col("number").alias("x"), "df"), ["x"], "df", task_rows)
+    # The exchange on the owner serves the count as well; only an owner that fills
+    # more than a task is counted in parts first.
+    if hot is None:
+        counted = (owned.repartition("x").select("x", F.explode("ys").alias("y"))
+                   .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        counted = (spread_rows(owned, ["x"], ["docno"], hot).repartition("x", "salt")
+                   .select("x", "salt", F.explode("ys").alias("y"))
+                   .groupBy("x", "salt", "y").agg(F.count(F.lit(1)).alias("n"))
+                   .groupBy("x", "y").agg(F.sum("n").alias("n")))
+    return _with_terms(counted.where(F.col("n") >= min_support), terms, task_rows)
+
+
+def _with_terms(pairs: DataFrame, terms: DataFrame, task_rows: int) -> DataFrame:
+    """Replace the term numbers of counted pairs by terms and their frequencies."""
+    first = terms.select(F.col("number").alias("x"), F.col("term").alias("a"), F.col("df").alias("df_a"))
+    second = terms.select(F.col("number").alias("y"), F.col("term").alias("b"), F.col("df").alias("df_b"))
+    # A term has fewer partners than there are terms: with a small vocabulary no
+    # term can be too heavy for a join.
+    if terms.count() <= task_rows:
+        return pairs.join(first, "x").join(second, "y").drop("x", "y")
+    pairs = materialize(pairs, "pairs")
+    per_x, per_y = (pairs.groupBy(c).agg(F.count(F.lit(1)).alias("n")) for c in ("x", "y"))
+    half = skew_join(pairs, first, ["x"], per_x, by=["y"], task_rows=task_rows)
+    return skew_join(half, second, ["y"], per_y, by=["x"], task_rows=task_rows).drop("x", "y")
 
 
 def _both_orders(pairs: DataFrame, *carried: str) -> DataFrame:

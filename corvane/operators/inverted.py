@@ -52,22 +52,34 @@ def _with_carry(lists: DataFrame, per_shard: Column, carry: Column) -> DataFrame
     return lists.join(light, ["term", "shard"])
 
 
-def compress_postings(index: DataFrame) -> DataFrame:
-    """(term, df, shard, gaps ARRAY<gap, tf>): docnos as differences within a term.
-
-    The first gap of a term is its first docno; the first gap of a later shard
-    continues from the last docno of the term's shard before.
-    """
+def _gap_lists(index: DataFrame) -> DataFrame:
+    """The index with ``gaps ARRAY<docno, gap, tf>`` in place of its postings."""
     before = F.lag("own", 1, 0).over(Window.partitionBy("term").orderBy("shard"))
     lists = _with_carry(index, F.element_at("postings", -1)["docno"], before)
 
     def gap(p: Column, i: Column) -> Column:
         last = F.when(i == 0, F.col("carry")).otherwise(F.get("postings", i - 1)["docno"])
-        return F.struct((p["docno"] - last).alias("gap"), p["tf"].alias("tf"))
+        return F.struct(p["docno"].alias("docno"), (p["docno"] - last).alias("gap"),
+                        p["tf"].alias("tf"))
 
     return lists.select("term", "df", "shard", F.transform("postings", gap).alias("gaps"))
 
 
+def posting_gaps(index: DataFrame) -> DataFrame:
+    """(term, docno, gap, tf): each posting with its distance to the one before it.
+
+    The first gap of a term is its first docno; the first gap of a later shard
+    continues from the last docno of the term's shard before.
+    """
+    return _gap_lists(index).select("term", F.inline("gaps"))
+
+
+def compress_postings(index: DataFrame) -> DataFrame:
+    """(term, df, shard, gaps ARRAY<gap, tf>): the index with gaps for docnos."""
+    gaps = F.transform("gaps", lambda g: F.struct(g["gap"].alias("gap"), g["tf"].alias("tf")))
+    return _gap_lists(index).withColumn("gaps", gaps)
+
+
 def restore_docnos(compressed: DataFrame) -> DataFrame:
     """(term, docno, tf) from the gaps alone, by prefix sums within and over shards."""
     in_term = Window.partitionBy("term").orderBy("shard")
@@ -76,11 +88,3 @@ def restore_docnos(compressed: DataFrame) -> DataFrame:
     lists = _with_carry(compressed, total, F.sum("own").over(in_term) - F.col("own"))
     return (lists.select("term", "shard", "carry", F.posexplode("gaps").alias("pos", "g"))
             .select("term", (F.col("carry") + F.sum("g.gap").over(in_shard)).alias("docno"), "g.tf"))
-
-
-def posting_gaps(index: DataFrame) -> DataFrame:
-    """(term, docno, gap, tf): each posting with its distance to the one before it."""
-    pairs = F.arrays_zip("postings", "gaps")
-    lists = index.join(compress_postings(index).drop("df"), ["term", "shard"])
-    return (lists.select("term", F.explode(pairs).alias("p"))
-            .select("term", "p.postings.docno", "p.gaps.gap", "p.postings.tf"))

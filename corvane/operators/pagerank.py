@@ -39,17 +39,22 @@ def build_rank_records(nodes: DataFrame, sources: list[int]) -> DataFrame:
             .withColumn("score", (F.col("id") == F.col("source")).cast("double")))
 
 
-def _transition(nodes: DataFrame, edges: DataFrame, alpha: float, task_rows: int) -> DataFrame:
-    """(src, dst, w): shares of a node's score; dst NULL is what returns to the source."""
+def _transition(nodes: DataFrame, edges: DataFrame, alpha: float,
+                task_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(src, dst, w) and (src, n): shares of a node's score and how many it has at most.
+
+    A share with dst NULL is what returns to the source.
+    """
     merged = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("k")), "edges")
-    fan_in = materialize(merged.groupBy("dst").agg(F.count(F.lit(1)).alias("n")), "fan-in")
+    check_graph(nodes, merged)
+    fan_in = merged.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
     known = nodes.select(F.col("id").alias("dst"), F.lit(True).alias("known"))
     flagged = materialize(
         skew_join(merged, known, ["dst"], fan_in, by=["src"], how="left", task_rows=task_rows)
         .withColumn("known", F.coalesce("known", F.lit(False))), "flagged")
+    kept = F.when(F.col("known"), F.col("k")).otherwise(0)
     fan_out = materialize(
-        flagged.groupBy("src").agg(F.sum("k").alias("outs"),
-                                   F.sum(F.when(F.col("known"), F.col("k")).otherwise(0)).alias("kept"),
+        flagged.groupBy("src").agg(F.sum("k").alias("outs"), F.sum(kept).alias("kept"),
                                    F.count(F.lit(1)).alias("n")), "fan-out")
     sent = (skew_join(flagged.where("known").drop("known"), fan_out.select("src", "outs"), ["src"],
                       fan_out, by=["dst"], task_rows=task_rows)
@@ -58,13 +63,13 @@ def _transition(nodes: DataFrame, edges: DataFrame, alpha: float, task_rows: int
     returned = (nodes.select(F.col("id").alias("src")).join(fan_out, "src", "left")
                 .select("src", F.lit(None).cast("bigint").alias("dst"),
                         (F.lit(1.0) - F.lit(1.0 - alpha) * share).alias("w")))
-    return materialize(sent.unionByName(returned), "transition")
+    return (materialize(sent.unionByName(returned), "transition"),
+            fan_out.select("src", (F.col("n") + 1).alias("n")))
 
 
-def _propagate(shares: DataFrame, state: DataFrame, start: int, end: int, base: str | None,
+def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: int, end: int, base: str | None,
                task_rows: int, tol: float | None = None) -> DataFrame:
     """(id, source, score): the state after the iterations, nodes of score 0 left out."""
-    fan_out = materialize(shares.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "fan-out")
     hot = hot_keys(fan_out, ["src"], task_rows=task_rows)
     if hot is not None:
         shares = materialize(spread_rows(shares, ["src"], ["dst"], hot), "dealt")
@@ -99,10 +104,10 @@ def personalized_pagerank(nodes: DataFrame, edges: DataFrame, sources: list[int]
     All sources advance together. With ``base`` the state of each iteration is
     kept as ``base/iterNNNN`` and ``start`` resumes from a stored one.
     """
-    check_graph(nodes, edges)
     records = build_rank_records(nodes, sources)
-    shares = _transition(nodes, edges, alpha, task_rows)
-    reached = _propagate(shares, records.where(F.col("score") > 0), start, iterations, base, task_rows)
+    shares, fan_out = _transition(nodes, edges, alpha, task_rows)
+    reached = _propagate(shares, fan_out, records.where(F.col("score") > 0), start, iterations, base,
+                         task_rows)
     return (records.select("source", "id")
             .join(reached, ["id", "source"], "left")
             .select("source", "id", F.coalesce("score", F.lit(0.0)).alias("score")))
@@ -117,18 +122,19 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float =
     to it. A node's score is its own plus an even part of the virtual node's. With
     ``tol`` the iterations stop once the scores move by less than that in total.
     """
-    check_graph(nodes, edges)
     count, least = nodes.agg(F.count(F.lit(1)), F.min("id")).first()
     if not count:
         raise ValueError("the graph has no nodes")
     virtual = F.lit(least - 1).cast("bigint")
-    shares = _transition(nodes, edges, alpha, task_rows)
+    shares, fan_out = _transition(nodes, edges, alpha, task_rows)
     average = (shares.groupBy("dst").agg((F.sum("w") / F.lit(count)).alias("w"))
                .select(virtual.alias("src"), "dst", "w"))
     begin = nodes.sparkSession.range(1).select(virtual.alias("id"), virtual.alias("source"),
                                                F.lit(1.0).alias("score"))
-    reached = _propagate(materialize(shares.unionByName(average), "shares"), begin, 0, iterations,
-                         None, task_rows, tol)
+    fan_out = fan_out.unionByName(begin.select(F.col("id").alias("src"),
+                                               F.lit(count + 1).cast("bigint").alias("n")))
+    reached = _propagate(materialize(shares.unionByName(average), "shares"), fan_out, begin, 0,
+                         iterations, None, task_rows, tol)
     # The virtual node is absent when nothing returned to it, which alpha = 0 allows.
     held = reached.where(F.col("id") == virtual).agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
     return (nodes.join(reached.select("id", "score"), "id", "left")

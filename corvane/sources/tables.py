@@ -14,9 +14,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over the cluster when the files hold fewer splits than it has cores.
+
+    Stored data of any size has more splits than that and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(docno, text): every line of every document; docno = doc_id * 1000000 + line."""
-    rows = (table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = (_spread(documents, "doc_id")
             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")))
     docno = F.when(F.col("line") < DOC_LINES, F.col("doc_id") * DOC_LINES + F.col("line")).otherwise(
         F.raise_error(F.lit("a document has too many lines for its docnos")))
