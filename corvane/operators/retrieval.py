@@ -32,14 +32,14 @@ def _condition(postfix: str, held: dict[str, Column]) -> Column:
     return stack[0]
 
 
-def _term_flags(index: DataFrame, terms: list[str]) -> tuple[DataFrame, dict[str, Column]]:
-    """One row per docno holding any of the terms, with a flag for each term.
+def _term_flags(index: DataFrame, terms: list[str]) -> DataFrame:
+    """(docno, t0, t1, …): docnos holding any of the terms, with a flag for each term.
 
     One filtered scan of the index and one aggregate, however many terms there are.
     """
     found = posting_rows(index.where(F.col("term").isin(terms)))
     flags = [F.bool_or(F.col("term") == t).alias(f"t{i}") for i, t in enumerate(terms)]
-    return found.groupBy("docno").agg(*flags), {t: F.col(f"t{i}") for i, t in enumerate(terms)}
+    return found.groupBy("docno").agg(*flags)
 
 
 def boolean_retrieval(index: DataFrame, lines: DataFrame, postfix: str) -> DataFrame:
@@ -55,9 +55,10 @@ def boolean_retrieval_batch(index: DataFrame, lines: DataFrame,
                             queries: dict[int, str]) -> DataFrame:
     """(qid, docno, text) for many postfix queries over one scan of the index."""
     terms = list(dict.fromkeys(t for q in queries.values() for t in query_terms(q)))
-    docs, held = _term_flags(index, terms)
+    held = {t: F.col(f"t{i}") for i, t in enumerate(terms)}
     hits = F.array_compact(F.array(*[F.when(_condition(q, held), F.lit(qid))
                                      for qid, q in queries.items()]))
+    docs = _term_flags(index, terms)
     return (docs.select(F.explode(hits).alias("qid"), "docno")
             .join(lines, "docno")
             .select("qid", "docno", "text"))

@@ -57,8 +57,8 @@ def read_observations(spark: SparkSession, path: str | list[str], type_name: str
 def read_scored_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(a, b, pmi): lines ``(a, b)<TAB>number`` as the PMI writer leaves them."""
     rows = read_observations(spark, path, "double")
-    pair = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", F.lit(1))
-    other = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", F.lit(2))
+    pair = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", 1)
+    other = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", 2)
     return rows.select(pair.alias("a"), other.alias("b"), F.col("v").alias("pmi"))
 
 

@@ -1,0 +1,56 @@
+import pytest
+from conftest import rows
+
+from corvane.operators import words
+from corvane.plans.ids import dense_ids
+from pyspark.sql import Window, functions as F
+
+TEXT = [(1, "a b c"), (2, "a b"), (3, "a c d"), (4, "b c a"), (5, "d")]
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    return spark.createDataFrame(TEXT, "docno BIGINT, text STRING")
+
+
+@pytest.fixture(scope="module")
+def odd_lines(spark):
+    data = [(1, ""), (2, "  x \t x\fy "), (3, "% ! x"), (4, "été e f"), (5, "p\x0bq"), (6, "Ab-c Ab")]
+    return spark.createDataFrame(data, "docno BIGINT, text STRING")
+
+
+def test_word_count(lines):
+    assert rows(words.word_count(lines)) == [("a", 4), ("b", 3), ("c", 3), ("d", 2)]
+
+
+def test_odd_tokens(odd_lines):
+    counts = dict(rows(words.word_count(odd_lines)))
+    assert counts == {"x": 3, "y": 1, "%": 1, "!": 1, "été": 1, "e f": 1, "p\x0bq": 1,
+                      "Ab-c": 1, "Ab": 1}
+    assert dict(rows(words.word_count_alpha(odd_lines))) == {"x": 3, "y": 1, "Ab": 1}
+    df = dict(rows(words.document_frequency(odd_lines)))
+    assert df["x"] == 2
+    # The index tokenizer cuts at the vertical tab too.
+    tf = rows(words.term_frequency(odd_lines))
+    assert ("p", 5, 1) in tf and ("q", 5, 1) in tf and ("x", 2, 2) in tf
+    assert sum(r[2] for r in tf) == 3 + 3 + 2 + 2 + 2
+
+
+def test_vocabulary(lines):
+    counts = words.word_count(lines)
+    assert rows(words.vocabulary_size(counts)) == [(4,)]
+    assert rows(words.vocabulary_edges(counts)) == [("first", "a", 4), ("last_3", "b", 3)]
+    assert {n for _, n in rows(words.term_recount(counts))} == {1}
+
+
+def test_ids(lines):
+    expected = [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert rows(words.term_ids_alphabetical(lines)) == expected
+    assert rows(words.term_ids_by_frequency(lines)) == expected
+
+
+def test_dense_ids_equal_window(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"), (F.col("id") % 3).alias("y"))
+    got = dense_ids(df.repartition(7), [F.desc("y"), F.asc("x")])
+    want = df.withColumn("id", F.row_number().over(Window.orderBy(F.desc("y"), "x")).cast("bigint"))
+    assert rows(got, "x", "y", "id") == rows(want, "x", "y", "id")
