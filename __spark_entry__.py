@@ -141,6 +141,7 @@ def queries() -> dict[str, Query]:
         "tf_histogram_of_terms": lambda s, d: inverted.tf_histogram(_index(s, d), HISTOGRAM),
         "lookup_postings": lambda s, d: retrieval.lookup_postings(
             _index(s, d), lines(s, d), LOOKUP),
+        "document_set": lambda s, d: retrieval.document_set(_index(s, d), WORDS[1]),
         "absent_terms": lambda s, d: retrieval.absent_terms(_index(s, d), ASKED),
         "boolean_retrieval": lambda s, d: retrieval.boolean_retrieval(
             _index(s, d), lines(s, d), POSTFIX[2]),
@@ -174,6 +175,10 @@ def queries() -> dict[str, Query]:
         "personalized_pagerank": lambda s, d: _rounded(_personalized(s, d, SOURCES[:1]), "score"),
         "personalized_pagerank_multi": lambda s, d: _rounded(
             _personalized(s, d, SOURCES), "score"),
+        "missing_mass": lambda s, d: _rounded(pagerank.missing_mass(
+            *purchase_flow(s, d), _personalized(s, d, SOURCES)), "missing"),
+        "log_scores": lambda s, d: _rounded(
+            pagerank.log_scores(_personalized(s, d, SOURCES)), "log_score"),
         "top_n_per_source": lambda s, d: _rounded(
             ranking.top_n_per_source(_personalized(s, d, SOURCES), TOP), "score"),
         "top_report": lambda s, d: ranking.top_report(
@@ -376,6 +381,7 @@ def _components_sql(rounds: int) -> str:
 def oracle_sql() -> dict[str, str]:
     ranks1 = _ranks_sql(SOURCES[:1], ITERATIONS)
     ranks = _ranks_sql(SOURCES, ITERATIONS)
+    further = _ranks_sql(SOURCES, ITERATIONS + 1)
     total = _pagerank_sql(ITERATIONS)
     comps = _components_sql(8)
     top = f"""SELECT source, rank, id, score FROM (
@@ -431,6 +437,7 @@ SELECT term, tf, count(*) AS n FROM tf WHERE term IN ({_in_list(HISTOGRAM)}) GRO
         "lookup_postings": f"""WITH {_POSTINGS}
 SELECT term, df, docno, tf, text FROM idx JOIN lines USING (docno)
 WHERE term IN ({_in_list(LOOKUP)})""",
+        "document_set": f"""WITH {_POSTINGS} SELECT docno FROM tf WHERE term = '{WORDS[1]}'""",
         "absent_terms": f"""WITH {_INDEX_TOKENS}
 SELECT term FROM unnest([{_in_list(ASKED)}]) AS asked(term)
 WHERE term NOT IN (SELECT term FROM tok)""",
@@ -476,6 +483,10 @@ FROM ks LEFT JOIN found USING (node)""",
 SELECT source, id, round(score, 6) AS score FROM ranks""",
         "personalized_pagerank_multi": f"""{ranks}
 SELECT source, id, round(score, 6) AS score FROM ranks""",
+        "missing_mass": f"""{further}
+SELECT source, round(missing, 6) AS missing FROM x{ITERATIONS}""",
+        "log_scores": f"""{ranks}
+SELECT source, id, round(ln(score), 6) AS log_score FROM ranks WHERE score > 0""",
         "top_n_per_source": f"""{ranks}
 SELECT source, rank::INT AS rank, id, round(score, 6) AS score FROM ({top})""",
         "top_report": f"""{ranks}

@@ -60,9 +60,11 @@ def weakly_connected_components(nodes: DataFrame, edges: DataFrame, *,
         edges.where(F.col("src") != F.col("dst"))
         .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct(), "links")
-    while not _is_star_forest(links):
+    done = False
+    while not done:
         links = materialize(_large_star(links, task_rows), "large")
         links = materialize(_small_star(links, task_rows), "small")
+        done = _is_star_forest(links)
     return (nodes.join(links.withColumnRenamed("hi", "id"), "id", "left")
             .select("id", F.coalesce("lo", "id").alias("component")))
 

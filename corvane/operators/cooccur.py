@@ -11,7 +11,18 @@ from corvane.plans.scratch import materialize
 from corvane.plans.skew import TASK_ROWS, hot_keys, skew_join, spread_rows
 
 
-def _counted_pairs(lines: DataFrame, min_support: int, task_rows: int) -> DataFrame:
+# Partners of a term that one row of its stripe may hold.
+STRIPE_ENTRIES = 65_536
+
+
+def _frequent_terms(lines: DataFrame, min_support: int) -> DataFrame:
+    """(term, df, number): the terms in at least ``min_support`` lines, stored."""
+    return materialize(document_frequency(lines).where(F.col("df") >= min_support)
+                       .withColumn("number", F.monotonically_increasing_id()), "terms")
+
+
+def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int,
+                   task_rows: int) -> DataFrame:
     """(a, df_a, b, df_b, n): unordered pairs of terms found in n >= min_support lines.
 
     A pair cannot be in more lines than either of its terms, so rare terms are
@@ -20,9 +31,6 @@ def _counted_pairs(lines: DataFrame, min_support: int, task_rows: int) -> DataFr
     its partners there instead of once per pair. The rarer term of a pair owns it:
     the commoner a term, the fewer partners follow it in a line.
     """
-    number = F.monotonically_increasing_id()
-    terms = materialize(document_frequency(lines).where(F.col("df") >= min_support)
-                        .withColumn("number", number), "terms")
     found = lines.select("docno", F.explode(distinct_tokens("text")).alias("term"))
     kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"],
                      task_rows=task_rows)
@@ -70,21 +78,25 @@ def _both_orders(pairs: DataFrame, *carried: str) -> DataFrame:
 def cooccurrence_pairs(lines: DataFrame, min_support: int = 10, *,
                        task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, b, n): number of lines that hold both terms, in both orders."""
-    return _both_orders(_counted_pairs(lines, min_support, task_rows), "n")
+    terms = _frequent_terms(lines, min_support)
+    return _both_orders(_counted_pairs(lines, terms, min_support, task_rows), "n")
 
 
-def cooccurrence_stripes(lines: DataFrame, min_support: int = 10, blocks: int = 64, *,
+def cooccurrence_stripes(lines: DataFrame, min_support: int = 10,
+                         entries: int = STRIPE_ENTRIES, *,
                          task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, block, stripe MAP<b, n>): the partners of each term.
 
-    The partners of one term are dealt over ``blocks`` rows by a hash, so a term
-    that meets the whole vocabulary is not built in one task.
+    A stripe is one row while the vocabulary is small. Beyond that the partners
+    are dealt over as many blocks, by a hash, as keep a row to about ``entries``
+    even for a term that meets every other.
     """
-    block = F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int")
-    entries = F.sort_array(F.collect_list(F.struct("b", "n")))
-    return (cooccurrence_pairs(lines, min_support, task_rows=task_rows)
-            .groupBy("a", block.alias("block"))
-            .agg(F.map_from_entries(entries).alias("stripe")))
+    terms = _frequent_terms(lines, min_support)
+    blocks = -(-terms.count() // entries) or 1
+    pairs = _both_orders(_counted_pairs(lines, terms, min_support, task_rows), "n")
+    partners = F.sort_array(F.collect_list(F.struct("b", "n")))
+    return (pairs.groupBy("a", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int").alias("block"))
+            .agg(F.map_from_entries(partners).alias("stripe")))
 
 
 def stripe_rows(stripes: DataFrame) -> DataFrame:
@@ -98,7 +110,8 @@ def pmi(lines: DataFrame, min_support: int = 10, n_docs: int | None = None, *,
 
     ``n_docs`` defaults to the number of lines, empty ones included.
     """
-    pairs = _counted_pairs(lines, min_support, task_rows)
+    terms = _frequent_terms(lines, min_support)
+    pairs = _counted_pairs(lines, terms, min_support, task_rows)
     total: Column = (lines.agg(F.count(F.lit(1))).scalar() if n_docs is None
                      else F.lit(n_docs))
     scored = pairs.withColumn("pmi", pmi_of(total, "n", "df_a", "df_b"))

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Values are grouped by their upper half: a key has at most 65536 ranges and a
 # range at most 65536 values, so no window sees more rows than that for 32-bit
@@ -33,18 +33,33 @@ def group_max(obs: DataFrame) -> DataFrame:
     return obs.groupBy("k").agg(F.max("v").alias("max"))
 
 
+def _at_middle(counts: DataFrame, carried: Column, prev: Column) -> DataFrame:
+    """The row of the middle value among the sorted values of each (k, part)."""
+    in_part = Window.partitionBy("k", "part").orderBy("v")
+    return (counts.withColumn("upto", carried + F.sum("n").over(in_part))
+            .withColumn("prev", F.coalesce(F.lag("v").over(in_part), prev))
+            .where((F.col("upto") >= F.col("mid")) & (F.col("upto") - F.col("n") < F.col("mid")))
+            .select("k", "total", "mid", "prev", F.col("v").alias("cur"), "upto", "n"))
+
+
 def _middle(obs: DataFrame) -> DataFrame:
     """(k, total, mid, prev, cur, upto, n) of the value at rank total div 2 + 1.
 
     ``cur`` is that value, ``n`` its count, ``upto`` the observations up to and
     including it, and ``prev`` the next smaller distinct value of the key.
     """
-    counts = (value_multiplicity(obs)
-              .withColumn("v", F.col("v").cast("bigint"))
-              .withColumn("part", F.shiftright("v", RANGE_BITS)))
+    counts = value_multiplicity(obs).withColumn("v", F.col("v").cast("bigint"))
+    mid = F.expr("total div 2 + 1")
+    least, most = obs.agg(F.min("v"), F.max("v")).first()
+    if least is None or most - least < 1 << RANGE_BITS:
+        # All values fit one range: no key has more distinct ones than a window may see.
+        whole = (counts.withColumn("part", F.lit(0))
+                 .withColumn("total", F.sum("n").over(Window.partitionBy("k", "part")))
+                 .withColumn("mid", mid))
+        return _at_middle(whole, F.lit(0), F.lit(None).cast("bigint"))
     # Ranges of values first: find the one that holds the middle of each key ...
+    counts = counts.withColumn("part", F.shiftright("v", RANGE_BITS))
     in_key = Window.partitionBy("k").orderBy("part")
-    mid = F.expr("total div 2 + 1")
     ranges = (counts.groupBy("k", "part").agg(F.sum("n").alias("in_part"), F.max("v").alias("top"))
               .withColumn("below", F.sum("in_part").over(in_key) - F.col("in_part"))
               .withColumn("prev_top", F.lag("top").over(in_key))
@@ -54,12 +69,7 @@ def _middle(obs: DataFrame) -> DataFrame:
                      & (F.col("below") + F.col("in_part") >= F.col("mid")))
               .select("k", "part", "below", "prev_top", "total", "mid"))
     # ... then the value inside that range.
-    in_part = Window.partitionBy("k", "part").orderBy("v")
-    return (counts.join(ranges, ["k", "part"])
-            .withColumn("upto", F.col("below") + F.sum("n").over(in_part))
-            .withColumn("prev", F.coalesce(F.lag("v").over(in_part), "prev_top"))
-            .where((F.col("upto") >= F.col("mid")) & (F.col("upto") - F.col("n") < F.col("mid")))
-            .select("k", "total", "mid", "prev", F.col("v").alias("cur"), "upto", "n"))
+    return _at_middle(counts.join(ranges, ["k", "part"]), F.col("below"), F.col("prev_top"))
 
 
 def group_median(obs: DataFrame) -> DataFrame:

@@ -113,6 +113,22 @@ def personalized_pagerank(nodes: DataFrame, edges: DataFrame, sources: list[int]
             .select("source", "id", F.coalesce("score", F.lit(0.0)).alias("score")))
 
 
+def missing_mass(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, *,
+                 task_rows: int = TASK_ROWS) -> DataFrame:
+    """(source, missing): the score one step would lose at nodes without out-links
+    and on edges to unknown nodes."""
+    shares, _ = _transition(nodes, edges, 0.0, task_rows)
+    lost = shares.where(F.col("dst").isNull()).select(F.col("src").alias("id"), "w")
+    return (ranks.join(lost, "id").groupBy("source")
+            .agg(F.sum(F.col("score") * F.col("w")).alias("missing")))
+
+
+def log_scores(ranks: DataFrame) -> DataFrame:
+    """(source, id, log_score): natural logs; a score of 0 has none and is left out."""
+    return (ranks.where(F.col("score") > 0)
+            .select("source", "id", F.ln("score").alias("log_score")))
+
+
 def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float = ALPHA, *,
              tol: float | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """(id, score): PageRank with a uniform start, jump and spread of missing score.

@@ -42,6 +42,11 @@ def _term_flags(index: DataFrame, terms: list[str]) -> DataFrame:
     return found.groupBy("docno").agg(*flags)
 
 
+def document_set(index: DataFrame, term: str) -> DataFrame:
+    """(docno): the documents that contain the term."""
+    return posting_rows(index.where(F.col("term") == term)).select("docno")
+
+
 def boolean_retrieval(index: DataFrame, lines: DataFrame, postfix: str) -> DataFrame:
     """(docno, text) of the lines that satisfy a postfix AND/OR query.
 

@@ -52,9 +52,12 @@ def test_against_brute_force(many, support, task_rows):
 
 def test_stripes_equal_pairs(many):
     _, lines = many
-    stripes = cooccur.cooccurrence_stripes(lines, 2, blocks=4)
+    stripes = cooccur.cooccurrence_stripes(lines, 2, entries=9)
     assert rows(cooccur.stripe_rows(stripes)) == rows(cooccur.cooccurrence_pairs(lines, 2))
     assert stripes.groupBy("a", "block").count().where("count > 1").isEmpty()
+    assert stripes.select("block").distinct().count() > 1
+    whole = cooccur.cooccurrence_stripes(lines, 2)
+    assert whole.count() == whole.select("a").distinct().count()
 
 
 def test_best_pairs(lines):

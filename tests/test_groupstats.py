@@ -46,6 +46,14 @@ def test_median_by_original_rule(obs):
     assert by_key(groupstats.group_median_compat(obs)) == {i: c[3] for i, c in enumerate(CASES)}
 
 
+def test_narrow_values(spark, obs):
+    narrow = obs.where("abs(v) < 100")
+    keep = {i: c for i, c in enumerate(CASES) if all(abs(v) < 100 for v in c[0])}
+    assert by_key(groupstats.group_median(narrow)) == {i: c[2] for i, c in keep.items()}
+    assert by_key(groupstats.group_median_compat(narrow)) == {i: c[3] for i, c in keep.items()}
+    assert by_key(groupstats.group_median(obs.where("false"))) == {}
+
+
 def test_max(obs):
     assert by_key(groupstats.group_max(obs)) == {i: max(c[0]) for i, c in enumerate(CASES)}
 
