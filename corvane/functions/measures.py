@@ -13,3 +13,8 @@ def pmi(n_docs: Column, n_both: Column | str, n_a: Column | str, n_b: Column | s
     """
     both, a, b = (F.col(c) if isinstance(c, str) else c for c in (n_both, n_a, n_b))
     return F.ln((n_docs.cast("double") * both) / (a.cast("double") * b))
+
+
+def block_of(column: str, span: int) -> Column:
+    """Number of the run of ``span`` whole numbers a value falls in, without rounding."""
+    return F.expr(f"({column} - pmod({column}, {span}L)) div {span}L")

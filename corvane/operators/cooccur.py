@@ -37,17 +37,18 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int,
     rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"]
     partners = F.slice("terms", F.col("i") + 2, F.size("terms"))
     owned = (kept.groupBy("docno").agg(rising.alias("terms"))
-             .select("docno", F.posexplode("terms").alias("i", "x"), "terms")
+             .select("docno", F.posexplode_outer("terms").alias("i", "x"), "terms")
+             .where(F.col("i") + 1 < F.size("terms"))
              .select("docno", "x", partners.alias("ys")))
     hot = hot_keys(terms.select(F.col("number").alias("x"), "df"), ["x"], "df", task_rows)
     # The exchange on the owner serves the count as well; only an owner that fills
     # more than a task is counted in parts first.
     if hot is None:
-        counted = (owned.repartition("x").select("x", F.explode("ys").alias("y"))
+        counted = (owned.repartition("x").select("x", F.explode_outer("ys").alias("y"))
                    .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
     else:
         counted = (spread_rows(owned, ["x"], ["docno"], hot).repartition("x", "salt")
-                   .select("x", "salt", F.explode("ys").alias("y"))
+                   .select("x", "salt", F.explode_outer("ys").alias("y"))
                    .groupBy("x", "salt", "y").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("x", "y").agg(F.sum("n").alias("n")))
     return _with_terms(counted.where(F.col("n") >= min_support), terms, task_rows)

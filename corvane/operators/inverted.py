@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corvane.functions.measures import block_of
 from corvane.functions.tokens import SPACE_DELIMITERS
 from corvane.operators.words import document_frequency, term_frequency
 from corvane.plans.scratch import materialize
@@ -26,7 +27,7 @@ def build_inverted_index(lines: DataFrame, span: int = SPAN, *,
     the shuffle on the term serve the grouping as well.
     """
     dictionary = materialize(document_frequency(lines, SPACE_DELIMITERS), "dictionary")
-    entries = term_frequency(lines).withColumn("shard", F.floor(F.col("docno") / F.lit(span)))
+    entries = term_frequency(lines).withColumn("shard", block_of("docno", span))
     with_df = skew_join(entries, dictionary, ["term"], dictionary, weight="df", by=["shard"],
                         task_rows=task_rows)
     return (with_df.groupBy("term", "df", "shard")
@@ -71,7 +72,8 @@ def posting_gaps(index: DataFrame) -> DataFrame:
     The first gap of a term is its first docno; the first gap of a later shard
     continues from the last docno of the term's shard before.
     """
-    return _gap_lists(index).select("term", F.inline("gaps"))
+    # The outer form infers no filter on the list, which would compute it twice.
+    return _gap_lists(index).select("term", F.inline_outer("gaps"))
 
 
 def compress_postings(index: DataFrame) -> DataFrame:
@@ -86,5 +88,5 @@ def restore_docnos(compressed: DataFrame) -> DataFrame:
     in_shard = Window.partitionBy("term", "shard").orderBy("pos")
     total = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda acc, g: acc + g["gap"])
     lists = _with_carry(compressed, total, F.sum("own").over(in_term) - F.col("own"))
-    return (lists.select("term", "shard", "carry", F.posexplode("gaps").alias("pos", "g"))
+    return (lists.select("term", "shard", "carry", F.posexplode_outer("gaps").alias("pos", "g"))
             .select("term", (F.col("carry") + F.sum("g.gap").over(in_shard)).alias("docno"), "g.tf"))

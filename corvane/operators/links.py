@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corvane.functions.measures import block_of
 from corvane.plans.scratch import materialize
 from corvane.plans.skew import TASK_ROWS, skew_join
 
@@ -58,7 +59,7 @@ def two_hop_pairs(edges: DataFrame, exclude_direct: bool = False, *,
 
 
 def _blocks(pairs: DataFrame, span: int) -> DataFrame:
-    block = F.coalesce(F.floor(F.col("nbr") / F.lit(span)), F.lit(0))
+    block = F.coalesce(block_of("nbr", span), F.lit(0))
     return (pairs.groupBy("node", block.alias("block"))
             .agg(F.sort_array(F.collect_list("nbr")).alias("nbrs")))
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from corvane.functions.measures import block_of
 from corvane.operators.graphstats import check_graph
 from corvane.plans.loop import iterate
 from corvane.plans.scratch import materialize
@@ -165,7 +166,7 @@ def dump_ranks(ranks: DataFrame, edges: DataFrame, span: int = 1_000_000) -> Dat
     """
     merged = edges.groupBy(F.col("src").alias("id"), "dst").agg(F.count(F.lit(1)).alias("k"))
     entries = F.sort_array(F.collect_list(F.struct("dst", "k")))
-    blocks = (merged.groupBy("id", F.floor(F.col("dst") / F.lit(span)).alias("block"))
+    blocks = (merged.groupBy("id", block_of("dst", span).alias("block"))
               .agg(entries.alias("entries")))
     listed = F.array_join(F.flatten(F.transform("entries", lambda e: F.array_repeat(
         e["dst"].cast("string"), e["k"].cast("int")))), " ")
