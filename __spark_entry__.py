@@ -20,7 +20,8 @@ from corvane.operators import (
     retrieval,
     words,
 )
-from corvane.sources import tables
+from corvane.plans.scratch import scratch_path
+from corvane.sources import sinks, tables, text
 from corvane.sources.tables import (
     key_graph,
     lines,
@@ -82,6 +83,25 @@ def _index_rows(spark: SparkSession, d: str) -> DataFrame:
     return inverted.posting_rows(_index(spark, d))
 
 
+def _stored_index(spark: SparkSession, d: str) -> DataFrame:
+    """The index written in term order and read back."""
+    path = scratch_path(spark, "index")
+    sinks.write_index(_index(spark, d), path)
+    return sinks.read_index(spark, path)
+
+
+def _text_file(df: DataFrame, compression: str = "none") -> str:
+    """Path of the rows written as tab-separated text."""
+    path = scratch_path(df.sparkSession, "text")
+    sinks.write_text(df, path, compression=compression)
+    return path
+
+
+def _log_file(spark: SparkSession, d: str) -> str:
+    records = text_log(spark, d).select(F.lit("id"), "date", F.lit("user"), "content")
+    return _text_file(records)
+
+
 def _batch(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.boolean_retrieval_batch(_index(spark, d), lines(spark, d), POSTFIX)
 
@@ -100,6 +120,10 @@ def queries() -> dict[str, Query]:
     return {
         # Words.
         "word_count": lambda s, d: words.word_count(lines(s, d)),
+        "word_count_from_text": lambda s, d: words.word_count(
+            text.read_lines(s, _text_file(lines(s, d).select("text")))),
+        "word_count_from_gzip": lambda s, d: words.word_count(
+            text.read_text(s, _text_file(lines(s, d).select("text"), "gzip"), 16)),
         "word_count_alpha": lambda s, d: words.word_count_alpha(lines(s, d)),
         "document_frequency": lambda s, d: words.document_frequency(lines(s, d)),
         "term_frequency": lambda s, d: words.term_frequency(lines(s, d)),
@@ -129,6 +153,8 @@ def queries() -> dict[str, Query]:
         "group_median_compat": lambda s, d: groupstats.group_median_compat(
             observations(s, d, "l_orderkey")),
         "group_max": lambda s, d: groupstats.group_max(observations(s, d, "l_partkey")),
+        "group_max_from_text": lambda s, d: groupstats.group_max(
+            text.read_observations(s, _text_file(observations(s, d, "l_partkey")))),
         # Index and retrieval.
         "build_inverted_index": lambda s, d: _index(s, d).select(
             "term", "df", "shard",
@@ -146,6 +172,8 @@ def queries() -> dict[str, Query]:
         "boolean_retrieval": lambda s, d: retrieval.boolean_retrieval(
             _index(s, d), lines(s, d), POSTFIX[2]),
         "boolean_retrieval_batch": _batch,
+        "boolean_retrieval_stored": lambda s, d: retrieval.boolean_retrieval_batch(
+            _stored_index(s, d), lines(s, d), POSTFIX),
         # Logs.
         "hourly_counts": lambda s, d: logs.hourly_counts_between(log(s, d), FROM_DAY, TO_DAY),
         "hourly_counts_matching": lambda s, d: logs.hourly_counts_between(
@@ -154,6 +182,8 @@ def queries() -> dict[str, Query]:
             text_log(s, d), (1, 10), (1, 20)),
         "hourly_counts_text_matching": lambda s, d: logs.hourly_counts_matching(
             text_log(s, d), EVENT_KEYWORDS, (1, 10), (1, 20)),
+        "hourly_counts_from_text": lambda s, d: logs.hourly_counts(
+            text.read_log(s, _log_file(s, d)), (1, 10), (1, 20)),
         "hourly_counts_padded": lambda s, d: logs.padded_keys(
             logs.hourly_counts(text_log(s, d), (1, 10), (1, 20))),
         # Graph counts and neighbourhoods.
@@ -389,8 +419,15 @@ def oracle_sql() -> dict[str, str]:
 WHERE rank <= {TOP}"""
     strict = ("strict AS (SELECT node, nbr FROM pairs ANTI JOIN edges "
               "ON edges.src = node AND edges.dst = nbr)")
+    counted = f"WITH {_COUNTS} SELECT term, cnt FROM counts"
+    part_max = f"WITH {_obs('l_partkey')} SELECT k, max(v) AS max FROM obs GROUP BY k"
+    found = f"WITH {_POSTINGS} " + " UNION ALL ".join(
+        f"""SELECT {q}::INT AS qid, docno, text FROM lines
+WHERE docno IN (SELECT * FROM {_postfix_sql(p)})""" for q, p in POSTFIX.items())
     return {
-        "word_count": f"WITH {_COUNTS} SELECT term, cnt FROM counts",
+        "word_count": counted,
+        "word_count_from_text": counted,
+        "word_count_from_gzip": counted,
         "word_count_alpha": f"WITH {_ALPHA} SELECT term, cnt FROM counts",
         "document_frequency": f"""WITH {_TOKENS}
 SELECT term, count(DISTINCT docno) AS df FROM tok GROUP BY term""",
@@ -423,7 +460,8 @@ SELECT k, trunc(median(v))::BIGINT AS median FROM obs GROUP BY k""",
         "group_median_compat": f"""WITH {_obs('l_orderkey')}{_RUNS}
 SELECT k, (CASE WHEN total % 2 = 1 OR prev IS NULL OR 2 * upto < 2 * mid + n THEN v
                 ELSE trunc((prev + v) / 2.0) END)::BIGINT AS median FROM mids""",
-        "group_max": f"WITH {_obs('l_partkey')} SELECT k, max(v) AS max FROM obs GROUP BY k",
+        "group_max": part_max,
+        "group_max_from_text": part_max,
         "build_inverted_index": f"""WITH {_POSTINGS}
 SELECT term, df, shard, string_agg(docno || ':' || tf, ',' ORDER BY docno) AS postings
 FROM idx GROUP BY term, df, shard""",
@@ -443,13 +481,13 @@ SELECT term FROM unnest([{_in_list(ASKED)}]) AS asked(term)
 WHERE term NOT IN (SELECT term FROM tok)""",
         "boolean_retrieval": f"""WITH {_POSTINGS}
 SELECT docno, text FROM lines WHERE docno IN (SELECT * FROM {_postfix_sql(POSTFIX[2])})""",
-        "boolean_retrieval_batch": f"WITH {_POSTINGS} " + " UNION ALL ".join(
-            f"""SELECT {q}::INT AS qid, docno, text FROM lines
-WHERE docno IN (SELECT * FROM {_postfix_sql(p)})""" for q, p in POSTFIX.items()),
+        "boolean_retrieval_batch": found,
+        "boolean_retrieval_stored": found,
         "hourly_counts": _hours(""),
         "hourly_counts_matching": _hours(_MATCH),
         "hourly_counts_text": _hours(""),
         "hourly_counts_text_matching": _hours(_MATCH),
+        "hourly_counts_from_text": _hours(""),
         "hourly_counts_padded": f"""SELECT day || ' ' || hour AS key, cnt
 FROM ({_hours("", "strftime(ts, '%-m/%d')")})""",
         "graph_stats": f"""WITH {_FLOW}

@@ -24,9 +24,10 @@ def _large_star(links: DataFrame, task_rows: int) -> DataFrame:
              .groupBy(F.col("node").alias("lo"))
              .agg(F.least(F.min("nbr"), F.col("lo")).alias("root"), F.count(F.lit(1)).alias("n")))
     least = materialize(least, "least")
-    return (skew_join(links, least.select("lo", "root"), ["lo"], least, by=["hi"],
-                      task_rows=task_rows)
-            .select("hi", F.col("root").alias("lo")).distinct())
+    rewired = (skew_join(links, least.select("lo", "root"), ["lo"], least, by=["hi"],
+                         task_rows=task_rows)
+               .select("hi", F.col("root").alias("lo")).distinct())
+    return materialize(rewired, "large", replaces=[links, least])
 
 
 def _small_star(links: DataFrame, task_rows: int) -> DataFrame:
@@ -37,7 +38,8 @@ def _small_star(links: DataFrame, task_rows: int) -> DataFrame:
                        task_rows=task_rows)
              .where(F.col("lo") > F.col("root"))
              .select(F.col("lo").alias("hi"), F.col("root").alias("lo")))
-    return moved.unionByName(least.select("hi", F.col("root").alias("lo"))).distinct()
+    rewired = moved.unionByName(least.select("hi", F.col("root").alias("lo"))).distinct()
+    return materialize(rewired, "small", replaces=[links, least])
 
 
 def _is_star_forest(links: DataFrame) -> bool:
@@ -62,8 +64,8 @@ def weakly_connected_components(nodes: DataFrame, edges: DataFrame, *,
         .distinct(), "links")
     done = False
     while not done:
-        links = materialize(_large_star(links, task_rows), "large")
-        links = materialize(_small_star(links, task_rows), "small")
+        links = _large_star(links, task_rows)
+        links = _small_star(links, task_rows)
         done = _is_star_forest(links)
     return (nodes.join(links.withColumnRenamed("hi", "id"), "id", "left")
             .select("id", F.coalesce("lo", "id").alias("component")))

@@ -86,9 +86,8 @@ def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: i
 
     if tol is None:
         return iterate(state, step, start, end, base=base)
-    for i in range(start, end):
-        before, state = state, iterate(state, step, i, i + 1, base=base)
-        state = state if base is not None else materialize(state, "iter")
+    for _ in range(start, end):
+        before, state = state, materialize(step(state), "iter")
         old = before.withColumnRenamed("score", "old")
         change = F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))
         moved = state.join(old, ["id", "source"], "full").agg(F.sum(change)).first()[0]

@@ -27,11 +27,12 @@ def iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], start: int
         if start == 0:
             state.write.mode("overwrite").parquet(saved(0))
         state = spark.read.schema(schema).parquet(saved(start))
+    cut = state
     for i in range(start, end):
         state = step(state)
         if base is not None:
             state.write.mode("overwrite").parquet(saved(i + 1))
             state = spark.read.schema(schema).parquet(saved(i + 1))
         elif (i + 1 - start) % every == 0 and i + 1 < end:
-            state = materialize(state, "iter")
+            state = cut = materialize(state, "iter", replaces=[cut])
     return state

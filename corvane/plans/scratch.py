@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +28,29 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for one scratch table, under the folder of this application."""
+    app = spark.conf.get("spark.app.id", "local")
+    return f"{scratch_dir(spark)}/corvane/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) -> DataFrame:
+    """Write ``df`` once and return a scan of the written table.
+
+    ``replaces`` are materialized tables nothing else reads any more; they are
+    deleted once the new table stands, so a loop holds a few tables at a time.
+    """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/corvane/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for old in replaces:
+        _delete(spark, getattr(old, "scratch_path", None))
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str | None) -> None:
+    if path is not None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -15,11 +15,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_text(df: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_text(df: DataFrame, path: str, partitions: int | None = None,
+               compression: str = "none") -> None:
     """Tab-separated text of all columns, quoted nowhere."""
     row = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
     out = df.select(row.alias("value"))
-    (out if partitions is None else out.repartition(partitions)).write.mode("overwrite").text(path)
+    out = out if partitions is None else out.repartition(partitions)
+    out.write.mode("overwrite").option("compression", compression).text(path)
 
 
 def write_scored_pairs(scored: DataFrame, path: str) -> None:
