@@ -20,7 +20,7 @@ from corvane.operators import (
     retrieval,
     words,
 )
-from corvane.plans.scratch import scratch_path
+from corvane.plans.scratch import materialize, scratch_path
 from corvane.sources import sinks, tables, text
 from corvane.sources.tables import (
     key_graph,
@@ -160,9 +160,11 @@ def queries() -> dict[str, Query]:
             "term", "df", "shard",
             F.array_join(F.transform("postings", lambda p: F.concat_ws(
                 ":", p["docno"].cast("string"), p["tf"].cast("string"))), ",").alias("postings")),
-        "posting_gaps": lambda s, d: inverted.posting_gaps(_index(s, d, SHARD)),
+        "posting_gaps": lambda s, d: inverted.posting_gaps(
+            materialize(_index(s, d, SHARD), "index")),
         "restore_docnos": lambda s, d: inverted.restore_docnos(
-            inverted.compress_postings(_index(s, d, SHARD))),
+            materialize(
+                inverted.compress_postings(materialize(_index(s, d, SHARD), "index")), "gaps")),
         "tf_histogram": lambda s, d: inverted.tf_histogram(_index(s, d)),
         "tf_histogram_of_terms": lambda s, d: inverted.tf_histogram(_index(s, d), HISTOGRAM),
         "lookup_postings": lambda s, d: retrieval.lookup_postings(

@@ -47,7 +47,10 @@ def tf_histogram(index: DataFrame, terms: list[str] | None = None) -> DataFrame:
 
 
 def _with_carry(lists: DataFrame, per_shard: Column, carry: Column) -> DataFrame:
-    """Add ``carry``, computed over one light row per (term, shard), to the lists."""
+    """Add ``carry``, computed over one light row per (term, shard), to the lists.
+
+    The lists are read twice: pass a stored index.
+    """
     light = lists.select("term", "shard", per_shard.alias("own")).select("term", "shard",
                                                                         carry.alias("carry"))
     return lists.join(light, ["term", "shard"])

@@ -160,15 +160,16 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float =
 def dump_ranks(ranks: DataFrame, edges: DataFrame, span: int = 1_000_000) -> DataFrame:
     """(value): text lines ``id, source, score, neighbours``, tab-separated.
 
-    The neighbours follow in id order, repeated as often as listed. A line takes
-    the neighbours of one block of ``span`` ids, so a hub fills several lines.
+    The neighbours follow in id order; one listed k > 1 times is written ``id*k``.
+    A line takes the neighbours of one block of ``span`` ids, so a hub fills
+    several lines.
     """
     merged = edges.groupBy(F.col("src").alias("id"), "dst").agg(F.count(F.lit(1)).alias("k"))
-    entries = F.sort_array(F.collect_list(F.struct("dst", "k")))
     blocks = (merged.groupBy("id", block_of("dst", span).alias("block"))
-              .agg(entries.alias("entries")))
-    listed = F.array_join(F.flatten(F.transform("entries", lambda e: F.array_repeat(
-        e["dst"].cast("string"), e["k"].cast("int")))), " ")
+              .agg(F.sort_array(F.collect_list(F.struct("dst", "k"))).alias("entries")))
+    times = lambda e: F.when(e["k"] > 1, F.concat(F.lit("*"), e["k"].cast("string"))).otherwise("")
+    listed = F.array_join(F.transform(
+        "entries", lambda e: F.concat(e["dst"].cast("string"), times(e))), " ")
     return (ranks.join(blocks.select("id", listed.alias("nbrs")), "id", "left")
             .select(F.concat_ws("\t", F.col("id").cast("string"), F.col("source").cast("string"),
                                 F.format_string("%.6f", "score"),

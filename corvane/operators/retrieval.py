@@ -32,14 +32,27 @@ def _condition(postfix: str, held: dict[str, Column]) -> Column:
     return stack[0]
 
 
+# Terms one BIGINT of flags has room for.
+WORD_BITS = 63
+
+
+def _held(terms: list[str]) -> dict[str, Column]:
+    """For each term the test of its flag in the columns m0, m1, …"""
+    return {t: F.col(f"m{i // WORD_BITS}").bitwiseAND(F.lit(1 << i % WORD_BITS)) != 0
+            for i, t in enumerate(terms)}
+
+
 def _term_flags(index: DataFrame, terms: list[str]) -> DataFrame:
-    """(docno, t0, t1, …): docnos holding any of the terms, with a flag for each term.
+    """(docno, m0, m1, …): docnos holding any of the terms, with one flag bit per term.
 
     One filtered scan of the index and one aggregate, however many terms there are.
     """
-    found = posting_rows(index.where(F.col("term").isin(terms)))
-    flags = [F.bool_or(F.col("term") == t).alias(f"t{i}") for i, t in enumerate(terms)]
-    return found.groupBy("docno").agg(*flags)
+    numbered = [(t, i // WORD_BITS, 1 << i % WORD_BITS) for i, t in enumerate(terms)]
+    flags = index.sparkSession.createDataFrame(numbered, "term STRING, word INT, bit BIGINT")
+    found = posting_rows(index.where(F.col("term").isin(terms))).join(flags, "term")
+    words = [F.bit_or(F.when(F.col("word") == w, F.col("bit")).otherwise(0)).alias(f"m{w}")
+             for w in range(-(-len(terms) // WORD_BITS))]
+    return found.groupBy("docno").agg(*words)
 
 
 def document_set(index: DataFrame, term: str) -> DataFrame:
@@ -60,7 +73,7 @@ def boolean_retrieval_batch(index: DataFrame, lines: DataFrame,
                             queries: dict[int, str]) -> DataFrame:
     """(qid, docno, text) for many postfix queries over one scan of the index."""
     terms = list(dict.fromkeys(t for q in queries.values() for t in query_terms(q)))
-    held = {t: F.col(f"t{i}") for i, t in enumerate(terms)}
+    held = _held(terms)
     hits = F.array_compact(F.array(*[F.when(_condition(q, held), F.lit(qid))
                                      for qid, q in queries.items()]))
     docs = _term_flags(index, terms)

@@ -138,6 +138,13 @@ def test_reports(graph):
         "1\t1\t0.150000\t2 3", "2\t1\t0.425000\t3 4", "3\t1\t0.425000\t1 9", "4\t1\t0.000000\t"]
 
 
+def test_dump_of_repeated_and_many_neighbours(spark):
+    ranks = spark.createDataFrame([(1, 1, 1.0)], "source BIGINT, id BIGINT, score DOUBLE")
+    edges = edges_df(spark, [(1, 2), (1, 2), (1, -3), (1, 12)])
+    assert [r[0] for r in rows(pagerank.dump_ranks(ranks, edges, span=10))] == [
+        "1\t1\t1.000000\t-3", "1\t1\t1.000000\t12", "1\t1\t1.000000\t2*2"]
+
+
 def test_two_hop(spark):
     edges = from_lists(spark, UNDIRECTED)
     assert rows(links.two_hop_neighbors(edges), "node", "nbrs") == [

@@ -54,6 +54,12 @@ def test_batch_equals_single(index, lines):
     assert batch == single
 
 
+def test_batch_of_many_terms(index, lines):
+    queries = {i: f"t{i} rose OR" if i % 2 else f"t{i} white AND" for i in range(150)}
+    got = rows(retrieval.boolean_retrieval_batch(index, lines, queries), "qid", "docno")
+    assert sorted(got) == [(q, d) for q in range(1, 150, 2) for d in (1, 2, 4)]
+
+
 def test_lookup(index, lines):
     assert rows(retrieval.lookup_postings(index, lines, ["pluck", "bronze"])) == [
         ("pluck", 1, 2, 1, "red rose pluck")]
