@@ -32,6 +32,14 @@ from corvane.sources.tables import (
     text_log,
 )
 
+try:
+    import corpus_pipeline
+    from corvane.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "corvane.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters shared by the queries and their SQL.
@@ -117,6 +125,22 @@ def _pagerank(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _library_queries()
+    if llm is not None:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _library_sql()
+    if llm is not None:
+        found |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _library_queries() -> dict[str, Query]:
     return {
         # Words.
         "word_count": lambda s, d: words.word_count(lines(s, d)),
@@ -410,7 +434,7 @@ def _components_sql(rounds: int) -> str:
     return "WITH " + ",\n".join(ctes)
 
 
-def oracle_sql() -> dict[str, str]:
+def _library_sql() -> dict[str, str]:
     ranks1 = _ranks_sql(SOURCES[:1], ITERATIONS)
     ranks = _ranks_sql(SOURCES, ITERATIONS)
     further = _ranks_sql(SOURCES, ITERATIONS + 1)

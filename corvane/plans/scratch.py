@@ -1,13 +1,17 @@
 """Scratch tables in the shared checkpoint folder.
 
-Iterative operators and multi-pass plans cut their lineage by writing a Parquet
-table and reading it back: every executor sees it, it survives lost executors,
-and the planner knows its size when it picks join strategies.
+Iterative operators and multi-pass plans cut their lineage by writing a table and
+reading it back: every executor sees it, it survives lost executors, and the
+planner knows its size when it picks join strategies.
+
+The folder is the session's ``spark.checkpoint.dir``; where that is unset it is
+the warehouse folder, for every master alike. The tables of an application live in
+a database of their own at that place, so dropping one removes its files.
 """
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -17,21 +21,18 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one only for a local master."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="corvane-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    """The folder that driver and executors share."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
+
+
+def _app(spark: SparkSession) -> str:
+    return re.sub(r"\W", "_", spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one scratch table, under the folder of this application."""
-    app = spark.conf.get("spark.app.id", "local")
-    return f"{scratch_dir(spark)}/corvane/{app}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one written file set, under the folder of this application."""
+    return f"{scratch_dir(spark)}/corvane/{_app(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) -> DataFrame:
@@ -41,16 +42,21 @@ def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) ->
     deleted once the new table stands, so a loop holds a few tables at a time.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    for old in replaces:
-        _delete(spark, getattr(old, "scratch_path", None))
-    table = spark.read.schema(df.schema).parquet(path)
-    table.scratch_path = path
-    return table
-
-
-def _delete(spark: SparkSession, path: str | None) -> None:
-    if path is not None:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    database = f"corvane_{_app(spark)}"
+    place = f"{scratch_dir(spark)}/corvane/{_app(spark)}/tables".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
+    table = f"{database}.{re.sub(r'[^0-9A-Za-z]', '_', name)}_{uuid.uuid4().hex}".lower()
+    df.write.format("parquet").saveAsTable(table)
+    release(*replaces)
+    stored = spark.table(table)
+    stored.scratch_table = table
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for df in tables:
+        name = getattr(df, "scratch_table", None)
+        if name is not None:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name} PURGE")
+            df.scratch_table = None
