@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corvane.llm import ppm
+from corvane.llm import (
+    decontaminate,
+    forest,
+    licenses,
+    linedup,
+    mixing,
+    ppm,
+    render,
+    secret_scan,
+    toxicity,
+    winnow,
+)
 from corvane.llm.common import held_out, learnt
 
 
@@ -21,8 +32,56 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edit_report(_table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source`` owns a document and every document is a repository of its own."""
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs.select("doc_id", "text", "source"), owner="source", repository="doc_id")
+    return secret_scan.digest(found)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(learnt()).select("doc_id", "toxic")
+    scored = toxicity.classify(docs, toxicity.learn(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linedup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_language_id": op1_language_id,
+    query.__name__: query
+    for query in (
+        op1_language_id, op2_document_fingerprints, op3_secret_scan, op4_toxicity,
+        op5_license_scan, op6_line_dedup, op7_source_mixing, op8_html_extraction,
+        op9_minhash_near_dedup, op10_benchmark_decontamination,
+    )
 }
 
 ORACLES: dict[str, str] = {}
