@@ -84,4 +84,121 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """Every unit of every text against every template."""
+    templates = ", ".join(f"({i}, {_text(name)}, {_text(body)})"
+                          for i, (name, body) in enumerate(licenses.TEMPLATES))
+
+    def grams(w: str) -> str:
+        return f"list_distinct([{w}[i] || ' ' || {w}[i + 1] FOR i IN range(1, len({w}))])"
+
+    return rf"""
+WITH words AS (
+  SELECT name, regexp_extract_all(lower(body), '[\p{{L}}\p{{N}}]+') AS w
+  FROM (VALUES {templates}) AS t(i, name, body)),
+templates AS (SELECT name, {grams('w')} AS g FROM words),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+units AS (
+  SELECT r, unnest(list_distinct(list_concat(string_split(text, chr(10)),
+    string_split_regex(text, '\n[ \t\r]*\n')))) AS unit FROM docs),
+pieces AS (SELECT r, unit, regexp_extract_all(lower(unit), '[\p{{L}}\p{{N}}]+') AS w FROM units),
+grams AS (SELECT r, unit, {grams('w')} AS g FROM pieces WHERE len(w) > 1),
+scored AS (
+  SELECT r, unit, name, 2.0 * len(list_intersect(grams.g, templates.g))
+    / (len(grams.g) + len(templates.g)) AS dice
+  FROM grams JOIN templates ON list_has_any(grams.g, templates.g)),
+best AS (
+  SELECT r, name, dice FROM (
+    SELECT *, row_number() OVER (PARTITION BY r, unit ORDER BY dice DESC, name) AS place FROM scored)
+  WHERE place = 1 AND dice >= {licenses.LEAST_DICE}),
+found AS (
+  SELECT r, count(*) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM best GROUP BY r),
+top AS (
+  SELECT r, name, dice FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, name) AS place FROM best)
+  WHERE place = 1)
+SELECT doc_id, top.name AS license, round(coalesce(top.dice, 0.0)::DOUBLE, 6) AS dice,
+  coalesce(names, '') AS licenses, coalesce(n, 0)::BIGINT AS n_matches
+FROM docs LEFT JOIN found USING (r) LEFT JOIN top USING (r)"""
+
+
+def _secret_sql() -> str:
+    """Matches and the pieces between them, side by side, per kind."""
+    kinds = [(secret_scan.ASSIGN, 1), (secret_scan.ACCESS, 0), (secret_scan.HEX, 0), (secret_scan.OTHER, 0)]
+    matches = " UNION ALL ".join(f"""
+  SELECT r, {kind} AS kind, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(vs) AS v,
+    unnest(ps[:len(ms)]) AS p FROM (
+    SELECT r, regexp_extract_all(text, {_text(pattern)}, 0) AS ms,
+      regexp_extract_all(text, {_text(pattern)}, {group}) AS vs,
+      string_split_regex(text, {_text(pattern)}) AS ps FROM docs) WHERE len(ms) > 0"""
+                                for kind, (pattern, group) in enumerate(kinds))
+    names = "[" + ", ".join(map(_text, secret_scan.KINDS)) + "]"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+matches AS ({matches}),
+placed AS (
+  SELECT r, kind, m, v, sum(length(p) + length(m)) OVER (PARTITION BY r, kind ORDER BY i)::BIGINT AS stop
+  FROM matches),
+every AS (
+  SELECT r, kind, stop - length(m) AS start, stop, v FROM placed
+  WHERE (kind = 0 AND length(v) >= {secret_scan.ASSIGN_LEAST}) OR kind IN (1, 2)
+    OR (kind = 3 AND regexp_matches(v, '{secret_scan.LETTER}')
+        AND regexp_matches(v, '{secret_scan.TWO_DIGITS}'))),
+spans AS (
+  SELECT * FROM every e WHERE kind < 3 OR NOT EXISTS (
+    SELECT 1 FROM every b WHERE b.r = e.r AND b.kind < 3 AND b.start < e.stop AND e.start < b.stop)),
+owners AS (SELECT v, count(DISTINCT source) AS n FROM spans JOIN docs USING (r) GROUP BY v),
+kept AS (
+  SELECT r, kind, start, stop, n BETWEEN 1 AND {secret_scan.MAX_OWNERS} AS live,
+    {names}[kind + 1] || ':' || start || ':' || stop AS listed
+  FROM spans JOIN owners USING (v) WHERE kind < 3 OR n BETWEEN 1 AND {secret_scan.MAX_OWNERS}),
+sums AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1,
+    count(*) FILTER (kind = 2) AS n2, count(*) FILTER (kind = 3) AS n3, count(*) FILTER (live) AS nl,
+    string_agg(listed, ',' ORDER BY start, kind) AS spans,
+    string_agg(listed, ',' ORDER BY start, kind) FILTER (kind < 3) AS base
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n3, 0) AS n_owned, coalesce(nl, 0) AS n_live
+FROM docs LEFT JOIN sums USING (r)"""
+
+
+def _near_sql() -> str:
+    """Full sets joined on their shingles; components by reachability."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[\x20\x09-\x0D]+'),
+    x -> x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+    END AS s FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= {forest.PERCENT} * (a.n + b.n - count(*))),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least.c AS component_id, doc_id = least.c AS kept
+FROM sets JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) AS least ON least.x = doc_id"""
+
+
+# The others have no SQL form: learned models, hashes DuckDB lacks, tree building,
+# iterated scheduling. They are tested against brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op3_secret_scan": _secret_sql(),
+    "op5_license_scan": _license_sql(),
+    "op9_minhash_near_dedup": _near_sql(),
+}

@@ -243,7 +243,7 @@ def _table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
                 pieces.append((lines[i] if i < len(lines) else "").ljust(room))
                 at += span
             out.append("  ".join(pieces).rstrip())
-    return [line for line in out if line]
+    return out
 
 
 def render(page: str | None) -> str:

@@ -26,8 +26,9 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 # A generated-looking value: 20 or more of these characters with a letter and two digits.
 OTHER = r"[A-Za-z0-9+/_-]{20,}"
-LOOKS_GENERATED = r"^(?=.*[A-Za-z])(?=.*[0-9].*[0-9])"
+LETTER, TWO_DIGITS = r"[A-Za-z]", r"[0-9].*[0-9]"
 MAX_OWNERS = 1
+CHUNK = 256
 
 _SPAN = "array<struct<kind:int,start:bigint,stop:bigint,value:string>>"
 
@@ -53,8 +54,18 @@ def _spans(text: Column, pattern: str, kind: int, value_group: int = 0) -> Colum
 
     rows = F.filter(F.arrays_zip(pieces.alias("piece"), matches.alias("match"), values.alias("value")),
                     lambda x: x["match"].isNotNull())
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("found"))
-    found = F.aggregate(rows, first, step, lambda state: state["found"])
+    none = F.array().cast(_SPAN)
+    # Appending copies an array, so matches are appended in chunks and chunks to the rest.
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / CHUNK).cast("int")),
+                         lambda i: F.slice(rows, i * CHUNK + 1, F.lit(CHUNK)))
+
+    def chunk_step(state: Column, chunk: Column) -> Column:
+        ended = F.aggregate(chunk, F.struct(state["at"].alias("at"), none.alias("found")), step)
+        return F.element_at(F.transform(F.array(ended), lambda e: F.struct(
+            e["at"].alias("at"), F.concat(state["found"], F.array(e["found"])).alias("found"))), 1)
+
+    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+    found = F.aggregate(chunks, first, chunk_step, lambda state: F.flatten(state["found"]))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
@@ -73,7 +84,8 @@ def scan(docs: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWN
     text = F.coalesce("text", F.lit(""))
     assign = F.filter(_spans(text, ASSIGN, 0, 1), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
     base = F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))
-    other = F.filter(_spans(text, OTHER, 3), lambda x: x["value"].rlike(LOOKS_GENERATED))
+    other = F.filter(_spans(text, OTHER, 3), lambda x: x["value"].rlike(LETTER)
+                     & x["value"].rlike(TWO_DIGITS))
     rows = docs.select("doc_id", F.col(owner).cast("string").alias("owner"),
                        F.col(repository).cast("string").alias("repository"),
                        base.alias("base"), other.alias("other"))
