@@ -24,7 +24,7 @@ from corvane.plans.scratch import materialize, scratch_path
 from corvane.sources import sinks, tables, text
 from corvane.sources.tables import (
     key_graph,
-    lines,
+    line_fetcher,
     log,
     observations,
     part_links,
@@ -55,7 +55,7 @@ POSTFIX = {
     3: "bronze the OR with AND from AND",
     4: "los las OR el un AND OR que AND",
 }
-# Docnos per shard where the gaps run over shard borders: 64 documents.
+# Docnos per shard of the index of document lines: 64 documents.
 SHARD = 64 * tables.DOC_LINES
 FROM_DAY, TO_DAY = date(2024, 1, 10), date(2024, 1, 20)
 EVENT_KEYWORDS = "(?i)error|signup"
@@ -64,6 +64,18 @@ ITERATIONS = 5
 TOP = 10
 
 
+# Session setting: tasks the documents are dealt over before they are split into lines,
+# for a table of a single file. Unset, the splits of the files are left as they are.
+LINE_PARTITIONS = "corvane.line.partitions"
+# Two-hop neighbours are asked for every node whose id is divisible by this.
+ASKED_EVERY = 50
+
+
+def lines(spark: SparkSession, d: str) -> DataFrame:
+    partitions = spark.conf.get(LINE_PARTITIONS, None)
+    return tables.lines(spark, d, int(partitions) if partitions else None)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """PMI of the term pairs of the document lines."""
     return _pmi(spark, "/root/testdata/sf0.001")
@@ -83,8 +95,8 @@ def _pmi(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(cooccur.pmi(lines(spark, d), SUPPORT), "pmi")
 
 
-def _index(spark: SparkSession, d: str, span: int = inverted.SPAN) -> DataFrame:
-    return inverted.build_inverted_index(lines(spark, d), span)
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    return inverted.build_inverted_index(lines(spark, d), SHARD)
 
 
 def _index_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +123,46 @@ def _log_file(spark: SparkSession, d: str) -> str:
 
 
 def _batch(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.boolean_retrieval_batch(_index(spark, d), lines(spark, d), POSTFIX)
+    return retrieval.boolean_retrieval_batch(_index(spark, d), line_fetcher(spark, d), POSTFIX)
+
+
+def _asked(spark: SparkSession, d: str) -> DataFrame:
+    """Parts whose id is divisible by ASKED_EVERY."""
+    parts = tables.table(spark, d, "part").select(F.col("p_partkey").alias("id"))
+    return parts.where(F.col("id") % ASKED_EVERY == 0)
+
+
+def _adjacency_file(nodes: DataFrame, edges: DataFrame, sep: str) -> str:
+    """Path of text lines: a node and the nodes its list names."""
+    lists = edges.groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("nbrs"))
+    named = F.coalesce("nbrs", F.array().cast("array<bigint>"))
+    line = F.array_join(F.concat(F.array("id"), named).cast("array<string>"), sep)
+    return _text_file(nodes.join(lists, "id", "left").select(line.alias("line")))
+
+
+def _flow_from_adjacency(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return text.read_adjacency(spark, _adjacency_file(*purchase_flow(spark, d), " "))
+
+
+def _links_from_adjacency(spark: SparkSession, d: str) -> DataFrame:
+    edges = part_links(spark, d)
+    nodes = edges.select(F.col("src").alias("id")).distinct()
+    return text.read_adjacency(spark, _adjacency_file(nodes, edges, "\t"), tabs=True)[1]
+
+
+def _flow_from_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    nodes, edges = purchase_flow(spark, d)
+    path = scratch_path(spark, "records")
+    sinks.write_records(edges, path, partitions=8)
+    return nodes, sinks.read_records(spark, path)
+
+
+def _resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks of a run that was stopped after two iterations and resumed."""
+    nodes, edges = purchase_flow(spark, d)
+    base = scratch_path(spark, "states")
+    pagerank.personalized_pagerank(nodes, edges, SOURCES, 2, base=base)
+    return pagerank.personalized_pagerank(nodes, edges, SOURCES, ITERATIONS, base=base, start=2)
 
 
 def _personalized(spark: SparkSession, d: str, sources: list[int]) -> DataFrame:
@@ -179,27 +230,29 @@ def _library_queries() -> dict[str, Query]:
         "group_max": lambda s, d: groupstats.group_max(observations(s, d, "l_partkey")),
         "group_max_from_text": lambda s, d: groupstats.group_max(
             text.read_observations(s, _text_file(observations(s, d, "l_partkey")))),
+        "group_max_from_tsv": lambda s, d: groupstats.group_max(
+            text.read_tsv(s, _text_file(observations(s, d, "l_partkey")), "k STRING, v INT")),
         # Index and retrieval.
         "build_inverted_index": lambda s, d: _index(s, d).select(
             "term", "df", "shard",
             F.array_join(F.transform("postings", lambda p: F.concat_ws(
                 ":", p["docno"].cast("string"), p["tf"].cast("string"))), ",").alias("postings")),
         "posting_gaps": lambda s, d: inverted.posting_gaps(
-            materialize(_index(s, d, SHARD), "index")),
+            materialize(_index(s, d), "index")),
         "restore_docnos": lambda s, d: inverted.restore_docnos(
             materialize(
-                inverted.compress_postings(materialize(_index(s, d, SHARD), "index")), "gaps")),
+                inverted.compress_postings(materialize(_index(s, d), "index")), "gaps")),
         "tf_histogram": lambda s, d: inverted.tf_histogram(_index(s, d)),
         "tf_histogram_of_terms": lambda s, d: inverted.tf_histogram(_index(s, d), HISTOGRAM),
         "lookup_postings": lambda s, d: retrieval.lookup_postings(
-            _index(s, d), lines(s, d), LOOKUP),
+            _stored_index(s, d), line_fetcher(s, d), LOOKUP),
         "document_set": lambda s, d: retrieval.document_set(_index(s, d), WORDS[1]),
         "absent_terms": lambda s, d: retrieval.absent_terms(_index(s, d), ASKED),
         "boolean_retrieval": lambda s, d: retrieval.boolean_retrieval(
-            _index(s, d), lines(s, d), POSTFIX[2]),
+            _index(s, d), line_fetcher(s, d), POSTFIX[2]),
         "boolean_retrieval_batch": _batch,
         "boolean_retrieval_stored": lambda s, d: retrieval.boolean_retrieval_batch(
-            _stored_index(s, d), lines(s, d), POSTFIX),
+            _stored_index(s, d), line_fetcher(s, d), POSTFIX),
         # Logs.
         "hourly_counts": lambda s, d: logs.hourly_counts_between(log(s, d), FROM_DAY, TO_DAY),
         "hourly_counts_matching": lambda s, d: logs.hourly_counts_between(
@@ -214,23 +267,29 @@ def _library_queries() -> dict[str, Query]:
             logs.hourly_counts(text_log(s, d), (1, 10), (1, 20))),
         # Graph counts and neighbourhoods.
         "graph_stats": lambda s, d: graphstats.graph_stats(*purchase_flow(s, d)),
-        "message_stats": lambda s, d: graphstats.message_stats(purchase_flow(s, d)[1]),
+        "graph_stats_from_adjacency": lambda s, d: graphstats.graph_stats(
+            *_flow_from_adjacency(s, d)),
+        "graph_stats_from_records": lambda s, d: graphstats.graph_stats(*_flow_from_records(s, d)),
+        "message_stats": lambda s, d: graphstats.message_stats(*purchase_flow(s, d)),
         "edge_touched_nodes": lambda s, d: graphstats.edge_touched_nodes(purchase_flow(s, d)[1]),
         "two_hop_neighbors": lambda s, d: _joined(
-            links.two_hop_neighbors(part_links(s, d)), "nbrs"),
+            links.two_hop_neighbors(part_links(s, d), _asked(s, d)), "nbrs"),
         "two_hop_neighbors_strict": lambda s, d: _joined(
-            links.two_hop_neighbors(part_links(s, d), exclude_direct=True), "nbrs"),
+            links.two_hop_neighbors(part_links(s, d), _asked(s, d), exclude_direct=True), "nbrs"),
         "two_hop_neighbors_nonempty": lambda s, d: _joined(
-            links.two_hop_neighbors_nonempty(part_links(s, d)), "nbrs"),
+            links.two_hop_neighbors_nonempty(part_links(s, d), _asked(s, d)), "nbrs"),
         "clustering_compat": lambda s, d: links.clustering_compat(part_links(s, d)),
         "clustering_coefficient": lambda s, d: _rounded(
             links.clustering_coefficient(part_links(s, d)), "lcc"),
+        "clustering_from_adjacency": lambda s, d: _rounded(
+            links.clustering_coefficient(_links_from_adjacency(s, d)), "lcc"),
         # Ranks and components.
         "build_rank_records": lambda s, d: pagerank.build_rank_records(
             purchase_flow(s, d)[0], SOURCES),
         "personalized_pagerank": lambda s, d: _rounded(_personalized(s, d, SOURCES[:1]), "score"),
         "personalized_pagerank_multi": lambda s, d: _rounded(
             _personalized(s, d, SOURCES), "score"),
+        "personalized_pagerank_resumed": lambda s, d: _rounded(_resumed(s, d), "score"),
         "missing_mass": lambda s, d: _rounded(pagerank.missing_mass(
             *purchase_flow(s, d), _personalized(s, d, SOURCES)), "missing"),
         "log_scores": lambda s, d: _rounded(
@@ -295,7 +354,7 @@ scored AS (
 _POSTINGS = _INDEX_TOKENS + f""",
 tf AS (SELECT term, docno, count(*) AS tf FROM tok GROUP BY term, docno),
 idx AS (SELECT term, count(*) OVER (PARTITION BY term) AS df, docno, tf,
-               docno // {inverted.SPAN} AS shard FROM tf)"""
+               docno // {SHARD} AS shard FROM tf)"""
 
 
 def _obs(key: str) -> str:
@@ -349,7 +408,7 @@ nodes AS MATERIALIZED (
   SELECT p_partkey * 3 AS id FROM part UNION ALL SELECT c_custkey * 3 + 1 FROM customer),
 edges AS MATERIALIZED (
   SELECT a * 3 AS src, b * 3 AS dst FROM nexts
-  UNION ALL SELECT DISTINCT l_partkey * 3, o_custkey * 3 + 1
+  UNION ALL SELECT l_partkey * 3, o_custkey * 3 + 1
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   UNION ALL SELECT DISTINCT l_partkey * 3, l_suppkey * 3 + 2 FROM lineitem)"""
 
@@ -361,9 +420,9 @@ pairs AS MATERIALIZED (
 
 
 def _two_hop_sql(pairs: str, keep_empty: bool) -> str:
-    rows = f"SELECT node, nbr FROM {pairs}"
+    rows = f"SELECT node, nbr FROM {pairs} WHERE node % {ASKED_EVERY} = 0"
     if keep_empty:
-        rows += " UNION ALL SELECT DISTINCT src, NULL::BIGINT FROM edges"
+        rows += f" UNION ALL SELECT DISTINCT src, NULL::BIGINT FROM edges WHERE src % {ASKED_EVERY} = 0"
     return f"""SELECT node, coalesce(nbr // {links.SPAN}, 0) AS block,
   coalesce(string_agg(nbr::VARCHAR, ',' ORDER BY nbr), '') AS nbrs
 FROM ({rows}) GROUP BY node, coalesce(nbr // {links.SPAN}, 0)"""
@@ -450,6 +509,20 @@ WHERE rank <= {TOP}"""
     found = f"WITH {_POSTINGS} " + " UNION ALL ".join(
         f"""SELECT {q}::INT AS qid, docno, text FROM lines
 WHERE docno IN (SELECT * FROM {_postfix_sql(p)})""" for q, p in POSTFIX.items())
+    stats = f"""WITH {_FLOW}
+SELECT (SELECT count(*) FROM nodes) AS num_nodes, (SELECT count(*) FROM edges) AS num_edges,
+  (SELECT count(*) FROM nodes WHERE id IN (SELECT src FROM edges)) AS num_active_nodes,
+  (SELECT count(*) FROM nodes WHERE id NOT IN (SELECT src FROM edges)) AS num_dangling,
+  (SELECT count(DISTINCT dst) FROM edges WHERE dst NOT IN (SELECT id FROM nodes))
+    AS num_missing_targets"""
+    clustering = f"""WITH {_PART_LINKS},
+ks AS (SELECT src AS node, count(*) AS k FROM edges GROUP BY src),
+found AS (
+  SELECT e.src AS node, count(*) AS links FROM edges e JOIN edges f ON e.src = f.src AND e.dst < f.dst
+  JOIN edges g ON g.src = e.dst AND g.dst = f.dst GROUP BY e.src)
+SELECT node, coalesce(links, 0) AS links, k * (k - 1) // 2 AS possible,
+  round(CASE WHEN k > 1 THEN coalesce(links, 0)::DOUBLE / (k * (k - 1) // 2) END, 6) AS lcc
+FROM ks LEFT JOIN found USING (node)"""
     return {
         "word_count": counted,
         "word_count_from_text": counted,
@@ -488,6 +561,7 @@ SELECT k, (CASE WHEN total % 2 = 1 OR prev IS NULL OR 2 * upto < 2 * mid + n THE
                 ELSE trunc((prev + v) / 2.0) END)::BIGINT AS median FROM mids""",
         "group_max": part_max,
         "group_max_from_text": part_max,
+        "group_max_from_tsv": part_max,
         "build_inverted_index": f"""WITH {_POSTINGS}
 SELECT term, df, shard, string_agg(docno || ':' || tf, ',' ORDER BY docno) AS postings
 FROM idx GROUP BY term, df, shard""",
@@ -516,14 +590,12 @@ SELECT docno, text FROM lines WHERE docno IN (SELECT * FROM {_postfix_sql(POSTFI
         "hourly_counts_from_text": _hours(""),
         "hourly_counts_padded": f"""SELECT day || ' ' || hour AS key, cnt
 FROM ({_hours("", "strftime(ts, '%-m/%d')")})""",
-        "graph_stats": f"""WITH {_FLOW}
-SELECT (SELECT count(*) FROM nodes) AS num_nodes, (SELECT count(*) FROM edges) AS num_edges,
-  (SELECT count(*) FROM nodes WHERE id IN (SELECT src FROM edges)) AS num_active_nodes,
-  (SELECT count(*) FROM nodes WHERE id NOT IN (SELECT src FROM edges)) AS num_dangling,
-  (SELECT count(DISTINCT dst) FROM edges WHERE dst NOT IN (SELECT id FROM nodes))
-    AS num_missing_targets""",
+        "graph_stats": stats,
+        "graph_stats_from_adjacency": stats,
+        "graph_stats_from_records": stats,
         "message_stats": f"""WITH {_FLOW}
-SELECT count(*) AS messages_sent, count(DISTINCT dst) AS distinct_targets FROM edges""",
+SELECT count(*) AS messages_sent, count(DISTINCT dst) AS distinct_targets FROM edges
+WHERE src IN (SELECT id FROM nodes)""",
         "edge_touched_nodes": f"""WITH {_FLOW}
 SELECT src AS id FROM edges UNION SELECT dst FROM edges""",
         "two_hop_neighbors": f"WITH {_PART_LINKS} {_two_hop_sql('pairs', True)}",
@@ -534,18 +606,14 @@ ks AS (SELECT src AS node, count(*) AS k FROM edges GROUP BY src),
 both_hops AS (SELECT node, count(*) AS n FROM pairs JOIN edges ON src = node AND dst = nbr GROUP BY node)
 SELECT node, coalesce(n, 0) // 2 AS closed, k * (k + 1) // 2 AS possible
 FROM ks LEFT JOIN both_hops USING (node)""",
-        "clustering_coefficient": f"""WITH {_PART_LINKS},
-ks AS (SELECT src AS node, count(*) AS k FROM edges GROUP BY src),
-found AS (
-  SELECT e.src AS node, count(*) AS links FROM edges e JOIN edges f ON e.src = f.src AND e.dst < f.dst
-  JOIN edges g ON g.src = e.dst AND g.dst = f.dst GROUP BY e.src)
-SELECT node, coalesce(links, 0) AS links, k * (k - 1) // 2 AS possible,
-  round(CASE WHEN k > 1 THEN coalesce(links, 0)::DOUBLE / (k * (k - 1) // 2) END, 6) AS lcc
-FROM ks LEFT JOIN found USING (node)""",
+        "clustering_coefficient": clustering,
+        "clustering_from_adjacency": clustering,
         "build_rank_records": f"{ranks} SELECT id, source, score FROM r0",
         "personalized_pagerank": f"""{ranks1}
 SELECT source, id, round(score, 6) AS score FROM ranks""",
         "personalized_pagerank_multi": f"""{ranks}
+SELECT source, id, round(score, 6) AS score FROM ranks""",
+        "personalized_pagerank_resumed": f"""{ranks}
 SELECT source, id, round(score, 6) AS score FROM ranks""",
         "missing_mass": f"""{further}
 SELECT source, round(missing, 6) AS missing FROM x{ITERATIONS}""",
@@ -561,7 +629,8 @@ UNION ALL SELECT source, 0, 'Source: ' || source FROM sources""",
         "dump_ranks": f"""{ranks}, lists AS (
   SELECT src, dst // 1000000 AS block, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS nbrs
   FROM edges GROUP BY src, dst // 1000000)
-SELECT concat_ws(chr(9), id::VARCHAR, source::VARCHAR, printf('%.6f', score), coalesce(nbrs, ''))
+SELECT concat_ws(chr(9), id::VARCHAR, source::VARCHAR, printf('%.6f', score),
+  coalesce(block, 0)::VARCHAR, coalesce(nbrs, ''))
   AS value FROM ranks LEFT JOIN lists ON src = id""",
         "weakly_connected_components": f"{comps} SELECT id, component FROM comps",
         "component_count": f"{comps} SELECT count(DISTINCT component) AS n FROM comps",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # The delimiter sets of the two tokenizers and the alphabetic test.
 WORD_DELIMITERS = "[ \\t\\n\\r\\f]+"
 SPACE_DELIMITERS = "\\s+"
-ALPHABETIC = "^[A-Za-z]+$"
+ALPHABETIC = "^[A-Za-z]+\\z"
 
 
 def tokens(text: Column | str, delimiters: str = WORD_DELIMITERS) -> Column:

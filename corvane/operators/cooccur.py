@@ -7,23 +7,46 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from corvane.functions.measures import pmi as pmi_of
 from corvane.functions.tokens import distinct_tokens
 from corvane.operators.words import document_frequency
+from corvane.plans.ids import dense_ids
 from corvane.plans.scratch import materialize
 from corvane.plans.skew import TASK_ROWS, hot_keys, skew_join, spread_rows
 
 
 # Partners of a term that one row of its stripe may hold.
 STRIPE_ENTRIES = 65_536
+# Terms of a line that one task pairs with the rest of the line.
+LINE_TERMS = 4_096
 
 
 def _frequent_terms(lines: DataFrame, min_support: int) -> DataFrame:
-    """(term, df, number): the terms in at least ``min_support`` lines, stored."""
-    return materialize(document_frequency(lines).where(F.col("df") >= min_support)
-                       .withColumn("number", F.monotonically_increasing_id()), "terms")
+    """(term, df, number): the terms in at least ``min_support`` lines, numbered 1..V."""
+    kept = document_frequency(lines).where(F.col("df") >= min_support)
+    return materialize(dense_ids(kept, [F.asc("term")], "number"), "terms")
 
 
-def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int,
-                   task_rows: int) -> DataFrame:
-    """(a, df_a, b, df_b, n): unordered pairs of terms found in n >= min_support lines.
+def _owned(lists: DataFrame, line_terms: int) -> DataFrame:
+    """(docno, x, ys): each term of a line with the terms after it.
+
+    The terms of a line above ``line_terms`` are dealt out in parts first, so that one
+    task doesn't form all lists of a long line.
+    """
+    long_line = F.size("terms") > line_terms
+    parts = F.sequence(F.lit(0), F.floor((F.size("terms") - 1) / line_terms).cast("int"))
+    dealt = (lists.where(long_line).select("docno", "terms", F.explode(parts).alias("part"))
+             .repartition("docno", "part")
+             .select("docno", F.posexplode(F.slice("terms", F.col("part") * line_terms + 1, F.lit(line_terms)))
+                     .alias("at", "x"), "terms", "part")
+             .select("docno", (F.col("part") * line_terms + F.col("at")).alias("i"), "x", "terms"))
+    whole = lists.where(~long_line).select("docno", F.posexplode_outer("terms").alias("i", "x"), "terms")
+    partners = F.slice("terms", F.col("i") + 2, F.size("terms"))
+    return (whole.unionByName(dealt).where(F.col("i") + 1 < F.size("terms"))
+            .select("docno", "x", partners.alias("ys")))
+
+
+def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int, task_rows: int,
+                   line_terms: int = LINE_TERMS) -> DataFrame:
+    """(a, x, df_a, b, y, df_b, n): unordered pairs of terms found in n >= min_support lines,
+    with the terms' numbers.
 
     A pair cannot be in more lines than either of its terms, so rare terms are
     dropped from the lines before any pair is formed; no pair that counts is lost.
@@ -35,14 +58,11 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int,
     kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"],
                      task_rows=task_rows)
     rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"]
-    partners = F.slice("terms", F.col("i") + 2, F.size("terms"))
-    owned = (kept.groupBy("docno").agg(rising.alias("terms"))
-             .select("docno", F.posexplode_outer("terms").alias("i", "x"), "terms")
-             .where(F.col("i") + 1 < F.size("terms"))
-             .select("docno", "x", partners.alias("ys")))
-    hot = hot_keys(terms.select(F.col("number").alias("x"), "df"), ["x"], "df", task_rows)
-    # The exchange on the owner serves the count as well; only an owner that fills
-    # more than a task is counted in parts first.
+    owned = _owned(kept.groupBy("docno").agg(rising.alias("terms")), line_terms)
+    entries = materialize(owned.groupBy("x").agg(F.sum(F.size("ys")).alias("n")), "owners")
+    hot = hot_keys(entries, ["x"], task_rows=task_rows)
+    # The exchange on the owner serves the count as well; only an owner whose partners
+    # fill more than a task is counted in parts first.
     if hot is None:
         counted = (owned.repartition("x").select("x", F.explode_outer("ys").alias("y"))
                    .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
@@ -55,32 +75,28 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int,
 
 
 def _with_terms(pairs: DataFrame, terms: DataFrame, task_rows: int) -> DataFrame:
-    """Replace the term numbers of counted pairs by terms and their frequencies."""
+    """Add the terms of counted pairs and their frequencies to the numbers."""
     first = terms.select(F.col("number").alias("x"), F.col("term").alias("a"), F.col("df").alias("df_a"))
     second = terms.select(F.col("number").alias("y"), F.col("term").alias("b"), F.col("df").alias("df_b"))
-    # A term has fewer partners than there are terms: with a small vocabulary no
-    # term can be too heavy for a join.
-    if terms.count() <= task_rows:
-        return pairs.join(first, "x").join(second, "y").drop("x", "y")
     pairs = materialize(pairs, "pairs")
     per_x, per_y = (pairs.groupBy(c).agg(F.count(F.lit(1)).alias("n")) for c in ("x", "y"))
     half = skew_join(pairs, first, ["x"], per_x, by=["y"], task_rows=task_rows)
-    return skew_join(half, second, ["y"], per_y, by=["x"], task_rows=task_rows).drop("x", "y")
+    return skew_join(half, second, ["y"], per_y, by=["x"], task_rows=task_rows)
 
 
 def _both_orders(pairs: DataFrame, *carried: str) -> DataFrame:
-    """Each unordered pair once as (a, b) and once as (b, a)."""
-    turns = F.array(F.struct(F.col("a"), F.col("b")),
-                    F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    """Each unordered pair once as (a, b) and once as (b, a), with the number of the second."""
+    turns = F.array(F.struct(F.col("a"), F.col("b"), F.col("y").alias("number")),
+                    F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("x").alias("number")))
     return (pairs.select(F.explode(turns).alias("turn"), *carried)
-            .select("turn.a", "turn.b", *carried))
+            .select("turn.a", "turn.b", "turn.number", *carried))
 
 
 def cooccurrence_pairs(lines: DataFrame, min_support: int = 10, *,
                        task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, b, n): number of lines that hold both terms, in both orders."""
     terms = _frequent_terms(lines, min_support)
-    return _both_orders(_counted_pairs(lines, terms, min_support, task_rows), "n")
+    return _both_orders(_counted_pairs(lines, terms, min_support, task_rows), "n").drop("number")
 
 
 def cooccurrence_stripes(lines: DataFrame, min_support: int = 10,
@@ -88,15 +104,13 @@ def cooccurrence_stripes(lines: DataFrame, min_support: int = 10,
                          task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, block, stripe MAP<b, n>): the partners of each term.
 
-    A stripe is one row while the vocabulary is small. Beyond that the partners
-    are dealt over as many blocks, by a hash, as keep a row to about ``entries``
-    even for a term that meets every other.
+    A block holds the partners whose numbers, 1..V in byte order, fall in one run of
+    ``entries``, so a row never has more than that.
     """
     terms = _frequent_terms(lines, min_support)
-    blocks = -(-terms.count() // entries) or 1
     pairs = _both_orders(_counted_pairs(lines, terms, min_support, task_rows), "n")
     partners = F.sort_array(F.collect_list(F.struct("b", "n")))
-    return (pairs.groupBy("a", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int").alias("block"))
+    return (pairs.groupBy("a", F.expr(f"(number - 1) div {entries}L").alias("block"))
             .agg(F.map_from_entries(partners).alias("stripe")))
 
 
@@ -116,7 +130,7 @@ def pmi(lines: DataFrame, min_support: int = 10, n_docs: int | None = None, *,
     total: Column = (lines.agg(F.count(F.lit(1))).scalar() if n_docs is None
                      else F.lit(n_docs))
     scored = pairs.withColumn("pmi", pmi_of(total, "n", "df_a", "df_b"))
-    return _both_orders(scored, "n", "pmi")
+    return _both_orders(scored, "n", "pmi").drop("number")
 
 
 def max_pmi_pair(scored: DataFrame) -> DataFrame:

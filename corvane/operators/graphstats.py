@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from corvane.plans.skew import TASK_ROWS, skew_join
+
 
 def _per_id(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, known, outs, ins) of every id seen, by one aggregate over a union."""
@@ -32,9 +34,15 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         F.count_if(~known & (F.col("ins") > 0)).alias("num_missing_targets"))
 
 
-def message_stats(edges: DataFrame) -> DataFrame:
-    """One row: messages_sent and distinct_targets of one propagation step."""
-    per_target = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
+def message_stats(nodes: DataFrame, edges: DataFrame, *, task_rows: int = TASK_ROWS) -> DataFrame:
+    """One row: messages_sent and distinct_targets of one propagation step.
+
+    Only listed nodes send; a target need not be listed.
+    """
+    fan_out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    sent = skew_join(edges, nodes.select(F.col("id").alias("src")), ["src"], fan_out, by=["dst"],
+                     how="left_semi", task_rows=task_rows)
+    per_target = sent.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
     return per_target.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("messages_sent"),
                           F.count(F.lit(1)).alias("distinct_targets"))
 

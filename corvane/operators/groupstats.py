@@ -50,13 +50,6 @@ def _middle(obs: DataFrame) -> DataFrame:
     """
     counts = value_multiplicity(obs).withColumn("v", F.col("v").cast("bigint"))
     mid = F.expr("total div 2 + 1")
-    least, most = obs.agg(F.min("v"), F.max("v")).first()
-    if least is None or most - least < 1 << RANGE_BITS:
-        # All values fit one range: no key has more distinct ones than a window may see.
-        whole = (counts.withColumn("part", F.lit(0))
-                 .withColumn("total", F.sum("n").over(Window.partitionBy("k", "part")))
-                 .withColumn("mid", mid))
-        return _at_middle(whole, F.lit(0), F.lit(None).cast("bigint"))
     # Ranges of values first: find the one that holds the middle of each key ...
     counts = counts.withColumn("part", F.shiftright("v", RANGE_BITS))
     in_key = Window.partitionBy("k").orderBy("part")

@@ -11,27 +11,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions.measures import block_of
-from corvane.functions.tokens import SPACE_DELIMITERS
-from corvane.operators.words import document_frequency, term_frequency
+from corvane.operators.words import term_frequency
 from corvane.plans.scratch import materialize
 from corvane.plans.skew import TASK_ROWS, skew_join
 
-SPAN = 1_000_000_000
+# Docnos of one shard: a posting row has at most that many entries, whatever docnos are.
+SPAN = 1 << 20
 
 
 def build_inverted_index(lines: DataFrame, span: int = SPAN, *,
                          task_rows: int = TASK_ROWS) -> DataFrame:
     """(term, df, shard, postings) of the collection.
 
-    Joining ``df`` to the flat postings rather than to the finished lists lets
-    the shuffle on the term serve the grouping as well.
+    The text is read once: lists are grouped by term and shard and stored, and ``df`` is
+    the sum of their sizes, joined back over one light row per list.
     """
-    dictionary = materialize(document_frequency(lines, SPACE_DELIMITERS), "dictionary")
     entries = term_frequency(lines).withColumn("shard", block_of("docno", span))
-    with_df = skew_join(entries, dictionary, ["term"], dictionary, weight="df", by=["shard"],
-                        task_rows=task_rows)
-    return (with_df.groupBy("term", "df", "shard")
-            .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings")))
+    lists = materialize(
+        entries.groupBy("term", "shard")
+        .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings")), "lists")
+    sizes = lists.groupBy("term").agg(F.sum(F.size("postings")).alias("df"),
+                                      F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes, "dictionary")
+    return (skew_join(lists, sizes.select("term", "df"), ["term"], sizes, by=["shard"],
+                      task_rows=task_rows)
+            .select("term", "df", "shard", "postings"))
 
 
 def posting_rows(index: DataFrame) -> DataFrame:

@@ -28,30 +28,34 @@ def _list_sizes(merged: DataFrame) -> DataFrame:
     return materialize(sizes, "sizes")
 
 
-def _two_hop(merged: DataFrame, task_pairs: int) -> DataFrame:
-    """(node, nbr): ordered pairs that some list names together, each once.
+def _two_hop(merged: DataFrame, asked: DataFrame, task_pairs: int) -> DataFrame:
+    """(node, nbr): the other members of the lists that name an asked node, each once.
 
-    Only a < b is formed and made unique before the mirror image is added.
+    The work is the sizes of the lists that name asked nodes, so a hub's members are
+    never paired with each other unless they are all asked for.
     """
-    weights = _list_sizes(merged).select("src", (F.col("n") * F.col("n")).alias("n"))
-    left = merged.select("src", F.col("dst").alias("a"))
-    right = merged.select("src", F.col("dst").alias("b"))
-    half = (skew_join(left, right, ["src"], weights, by=["a"], task_rows=task_pairs)
-            .where(F.col("a") < F.col("b")).select("a", "b").distinct())
-    turns = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("nbr")),
-                    F.struct(F.col("b").alias("node"), F.col("a").alias("nbr")))
+    sizes = _list_sizes(merged)
+    fan_in = merged.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
+    named = skew_join(merged, asked.select(F.col("id").alias("dst")).distinct(), ["dst"], fan_in,
+                      by=["src"], how="left_semi", task_rows=task_pairs)
+    named = materialize(named.select("src", F.col("dst").alias("node"), F.col("k").alias("times")),
+                        "named")
+    asked_of = named.groupBy("src").agg(F.count(F.lit(1)).alias("asked"))
+    weights = materialize(sizes.join(asked_of, "src")
+                          .select("src", (F.col("n") * F.col("asked")).alias("n")), "weights")
+    members = merged.select("src", F.col("dst").alias("nbr"))
     # A list that repeats a node makes it its own two-hop neighbour.
-    own = (merged.where(F.col("k") > 1).select(F.col("dst").alias("node"), F.col("dst").alias("nbr"))
-           .distinct())
-    return half.select(F.explode(turns).alias("t")).select("t.node", "t.nbr").unionByName(own)
+    return (skew_join(members, named, ["src"], weights, by=["nbr"], task_rows=task_pairs)
+            .where((F.col("node") != F.col("nbr")) | (F.col("times") > 1))
+            .select("node", "nbr").distinct())
 
 
-def two_hop_pairs(edges: DataFrame, exclude_direct: bool = False, *,
+def two_hop_pairs(edges: DataFrame, asked: DataFrame, exclude_direct: bool = False, *,
                   task_pairs: int = TASK_PAIRS) -> DataFrame:
-    """(node, nbr): nodes that share a common neighbour, direct neighbours included
-    unless ``exclude_direct``."""
+    """(node, nbr): nodes that share a common neighbour with a node of ``asked`` (id),
+    direct neighbours included unless ``exclude_direct``."""
     merged = _merged(edges)
-    pairs = _two_hop(merged, task_pairs)
+    pairs = _two_hop(merged, asked, task_pairs)
     if exclude_direct:
         direct = merged.select(F.col("src").alias("node"), F.col("dst").alias("nbr"))
         pairs = pairs.join(direct, ["node", "nbr"], "left_anti")
@@ -64,21 +68,23 @@ def _blocks(pairs: DataFrame, span: int) -> DataFrame:
             .agg(F.sort_array(F.collect_list("nbr")).alias("nbrs")))
 
 
-def two_hop_neighbors(edges: DataFrame, exclude_direct: bool = False, span: int = SPAN, *,
-                      task_pairs: int = TASK_PAIRS) -> DataFrame:
-    """(node, block, nbrs): the two-hop neighbours of a node in blocks of ``span`` ids.
+def two_hop_neighbors(edges: DataFrame, asked: DataFrame, exclude_direct: bool = False,
+                      span: int = SPAN, *, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """(node, block, nbrs): the two-hop neighbours of the asked nodes in blocks of ``span`` ids.
 
-    A node with a list always has its block 0, empty if there is nothing in it.
+    An asked node with a list always has its block 0, empty if there is nothing in it.
     """
-    listed = edges.select(F.col("src").alias("node"), F.lit(None).cast("bigint").alias("nbr"))
-    return _blocks(two_hop_pairs(edges, exclude_direct, task_pairs=task_pairs)
-                   .unionByName(listed.distinct()), span)
+    listed = (edges.select(F.col("src").alias("node")).distinct()
+              .join(asked.select(F.col("id").alias("node")), "node", "left_semi")
+              .select("node", F.lit(None).cast("bigint").alias("nbr")))
+    return _blocks(two_hop_pairs(edges, asked, exclude_direct, task_pairs=task_pairs)
+                   .unionByName(listed), span)
 
 
-def two_hop_neighbors_nonempty(edges: DataFrame, span: int = SPAN, *,
+def two_hop_neighbors_nonempty(edges: DataFrame, asked: DataFrame, span: int = SPAN, *,
                                task_pairs: int = TASK_PAIRS) -> DataFrame:
-    """(node, block, nbrs) of the nodes with at least one two-hop neighbour."""
-    return _blocks(two_hop_pairs(edges, task_pairs=task_pairs), span)
+    """(node, block, nbrs) of the asked nodes with at least one two-hop neighbour."""
+    return _blocks(two_hop_pairs(edges, asked, task_pairs=task_pairs), span)
 
 
 def _triangles(merged: DataFrame, task_rows: int, task_pairs: int) -> DataFrame:
@@ -113,7 +119,10 @@ def _triangles(merged: DataFrame, task_rows: int, task_pairs: int) -> DataFrame:
                            F.col("up").alias("uw"), F.col("down").alias("wu"))
     third = rising.select(F.col("lo").alias("v"), F.col("hi").alias("w"),
                           F.col("up").alias("vw"), F.col("down").alias("wv"), "dlo")
-    wedges = (first.join(second, "u")
+    # A node of out-degree d opens d * d ordered wedges.
+    opened = materialize(rising.groupBy(F.col("lo").alias("u")).agg(
+        (F.count(F.lit(1)) * F.count(F.lit(1))).alias("n")), "wedges")
+    wedges = (skew_join(first, second, ["u"], opened, by=["v"], task_rows=task_pairs)
               .where(F.struct("dv", "v") < F.struct("dw", "w")).drop("dv", "dw"))
     # v and w close as many wedges as they share neighbours: at most v's degree.
     return skew_join(wedges, third.drop("dlo"), ["v", "w"], third, weight="dlo", by=["u"],

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from corvane.functions.measures import block_of
 from corvane.operators.graphstats import check_graph
 from corvane.plans.loop import iterate
-from corvane.plans.scratch import materialize
+from corvane.plans.scratch import materialize, release
 from corvane.plans.skew import TASK_ROWS, copy_rows, hot_keys, skew_join, spread_rows
 
 ALPHA = 0.15
@@ -48,11 +48,11 @@ def _transition(nodes: DataFrame, edges: DataFrame, alpha: float,
     """
     merged = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("k")), "edges")
     check_graph(nodes, merged)
-    fan_in = merged.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
+    fan_in = materialize(merged.groupBy("dst").agg(F.count(F.lit(1)).alias("n")), "fan-in")
     known = nodes.select(F.col("id").alias("dst"), F.lit(True).alias("known"))
     flagged = materialize(
         skew_join(merged, known, ["dst"], fan_in, by=["src"], how="left", task_rows=task_rows)
-        .withColumn("known", F.coalesce("known", F.lit(False))), "flagged")
+        .withColumn("known", F.coalesce("known", F.lit(False))), "flagged", replaces=[merged, fan_in])
     kept = F.when(F.col("known"), F.col("k")).otherwise(0)
     fan_out = materialize(
         flagged.groupBy("src").agg(F.sum("k").alias("outs"), F.sum(kept).alias("kept"),
@@ -64,35 +64,44 @@ def _transition(nodes: DataFrame, edges: DataFrame, alpha: float,
     returned = (nodes.select(F.col("id").alias("src")).join(fan_out, "src", "left")
                 .select("src", F.lit(None).cast("bigint").alias("dst"),
                         (F.lit(1.0) - F.lit(1.0 - alpha) * share).alias("w")))
-    return (materialize(sent.unionByName(returned), "transition"),
+    return (materialize(sent.unionByName(returned), "transition", replaces=[flagged]),
             fan_out.select("src", (F.col("n") + 1).alias("n")))
 
 
 def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: int, end: int, base: str | None,
                task_rows: int, tol: float | None = None) -> DataFrame:
-    """(id, source, score): the state after the iterations, nodes of score 0 left out."""
-    hot = hot_keys(fan_out, ["src"], task_rows=task_rows)
+    """(id, source, score): the state after the iterations, nodes of score 0 left out.
+
+    The shares are laid out by their source once; an iteration moves the scores to them.
+    """
+    hot, key = hot_keys(fan_out, ["src"], task_rows=task_rows), ["src"]
+    flat = shares
     if hot is not None:
-        shares = materialize(spread_rows(shares, ["src"], ["dst"], hot), "dealt")
+        flat, key = spread_rows(shares, ["src"], ["dst"], hot), ["src", "salt"]
+    laid_out = materialize(flat, "shares", replaces=[shares], keyed_by=key)
 
     def step(ranks: DataFrame) -> DataFrame:
         senders = ranks.withColumnRenamed("id", "src")
-        key = ["src"]
         if hot is not None:
-            senders, key = copy_rows(senders, ["src"], hot), ["src", "salt"]
-        return (shares.join(senders, key)
+            senders = copy_rows(senders, ["src"], hot)
+        return (laid_out.join(senders, key)
                 .groupBy(F.coalesce("dst", "source").alias("id"), "source")
                 .agg(F.sum(F.col("score") * F.col("w")).alias("score")))
 
     if tol is None:
-        return iterate(state, step, start, end, base=base)
+        reached = iterate(state, step, start, end, base=base)
+        release(laid_out)
+        return reached
     for _ in range(start, end):
-        before, state = state, materialize(step(state), "iter")
-        old = before.withColumnRenamed("score", "old")
+        after = materialize(step(state), "iter")
+        old = state.withColumnRenamed("score", "old")
         change = F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))
-        moved = state.join(old, ["id", "source"], "full").agg(F.sum(change)).first()[0]
+        moved = after.join(old, ["id", "source"], "full").agg(F.sum(change)).first()[0]
+        release(state)
+        state = after
         if moved < tol:
             break
+    release(laid_out)
     return state
 
 
@@ -102,9 +111,18 @@ def personalized_pagerank(nodes: DataFrame, edges: DataFrame, sources: list[int]
     """(source, id, score) of every node for every source.
 
     All sources advance together. With ``base`` the state of each iteration is
-    kept as ``base/iterNNNN`` and ``start`` resumes from a stored one.
+    kept as ``base/iterNNNN`` and ``start`` resumes from a stored one, which must be of
+    the same sources.
     """
     records = build_rank_records(nodes, sources)
+    if start:
+        if base is None:
+            raise ValueError("a run can only be resumed from stored states")
+        stored = nodes.sparkSession.read.parquet(f"{base}/iter{start:04d}")
+        # A source's scores sum to 1, so each has rows; there are as many as were asked for.
+        held = {r.source for r in stored.select("source").distinct().collect()}
+        if held != set(sources):
+            raise ValueError(f"the stored state is of sources {sorted(held)}")
     shares, fan_out = _transition(nodes, edges, alpha, task_rows)
     reached = _propagate(shares, fan_out, records.where(F.col("score") > 0), start, iterations, base,
                          task_rows)
@@ -145,12 +163,17 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float =
     shares, fan_out = _transition(nodes, edges, alpha, task_rows)
     average = (shares.groupBy("dst").agg((F.sum("w") / F.lit(count)).alias("w"))
                .select(virtual.alias("src"), "dst", "w"))
-    begin = nodes.sparkSession.range(1).select(virtual.alias("id"), virtual.alias("source"),
-                                               F.lit(1.0).alias("score"))
-    fan_out = fan_out.unionByName(begin.select(F.col("id").alias("src"),
-                                               F.lit(count + 1).cast("bigint").alias("n")))
-    reached = _propagate(materialize(shares.unionByName(average), "shares"), fan_out, begin, 0,
-                         iterations, None, task_rows, tol)
+    fan_out = fan_out.unionByName(nodes.sparkSession.range(1).select(
+        virtual.alias("src"), F.lit(count + 1).cast("bigint").alias("n")))
+    every = materialize(shares.unionByName(average), "with-virtual", replaces=[shares])
+    # The first step is known: the virtual node passes its whole score on.
+    sent = (every.where(F.col("src") == virtual)
+            .select(F.coalesce("dst", virtual).alias("id"), virtual.alias("source"),
+                    F.col("w").alias("score")))
+    if iterations < 1:
+        return nodes.select("id", F.lit(1.0 / count).alias("score"))
+    first = materialize(sent, "first")
+    reached = _propagate(every, fan_out, first, 1, iterations, None, task_rows, tol)
     # The virtual node is absent when nothing returned to it, which alpha = 0 allows.
     held = reached.where(F.col("id") == virtual).agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
     return (nodes.join(reached.select("id", "score"), "id", "left")
@@ -158,19 +181,18 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float =
 
 
 def dump_ranks(ranks: DataFrame, edges: DataFrame, span: int = 1_000_000) -> DataFrame:
-    """(value): text lines ``id, source, score, neighbours``, tab-separated.
+    """(value): text lines ``id, source, score, block, neighbours``, tab-separated.
 
-    The neighbours follow in id order; one listed k > 1 times is written ``id*k``.
-    A line takes the neighbours of one block of ``span`` ids, so a hub fills
-    several lines.
+    The neighbours follow in id order, a repeated one as often as it is listed. A line
+    takes the neighbours of one block of ``span`` ids, so a hub fills several lines; a
+    node without neighbours has one line of block 0.
     """
-    merged = edges.groupBy(F.col("src").alias("id"), "dst").agg(F.count(F.lit(1)).alias("k"))
-    blocks = (merged.groupBy("id", block_of("dst", span).alias("block"))
-              .agg(F.sort_array(F.collect_list(F.struct("dst", "k"))).alias("entries")))
-    times = lambda e: F.when(e["k"] > 1, F.concat(F.lit("*"), e["k"].cast("string"))).otherwise("")
-    listed = F.array_join(F.transform(
-        "entries", lambda e: F.concat(e["dst"].cast("string"), times(e))), " ")
-    return (ranks.join(blocks.select("id", listed.alias("nbrs")), "id", "left")
+    blocks = (edges.select(F.col("src").alias("id"), "dst")
+              .groupBy("id", block_of("dst", span).alias("block"))
+              .agg(F.sort_array(F.collect_list("dst")).alias("nbrs")))
+    listed = F.array_join(F.col("nbrs").cast("array<string>"), " ")
+    return (ranks.join(blocks.select("id", "block", listed.alias("nbrs")), "id", "left")
             .select(F.concat_ws("\t", F.col("id").cast("string"), F.col("source").cast("string"),
                                 F.format_string("%.6f", "score"),
+                                F.coalesce("block", F.lit(0)).cast("string"),
                                 F.coalesce("nbrs", F.lit(""))).alias("value")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.operators.inverted import posting_rows
@@ -60,7 +62,17 @@ def document_set(index: DataFrame, term: str) -> DataFrame:
     return posting_rows(index.where(F.col("term") == term)).select("docno")
 
 
-def boolean_retrieval(index: DataFrame, lines: DataFrame, postfix: str) -> DataFrame:
+Fetch = Callable[[DataFrame], DataFrame]
+
+
+def _with_text(found: DataFrame, lines: DataFrame | Fetch) -> DataFrame:
+    """``found`` with the text of its docnos, from the lines or by a function that fetches
+    (docno, text) of given docnos without reading every line."""
+    texts = lines(found.select("docno").distinct()) if callable(lines) else lines
+    return found.join(texts, "docno")
+
+
+def boolean_retrieval(index: DataFrame, lines: DataFrame | Fetch, postfix: str) -> DataFrame:
     """(docno, text) of the lines that satisfy a postfix AND/OR query.
 
     A term the index lacks holds nowhere. Malformed queries raise ValueError.
@@ -69,7 +81,7 @@ def boolean_retrieval(index: DataFrame, lines: DataFrame, postfix: str) -> DataF
             .select("docno", "text"))
 
 
-def boolean_retrieval_batch(index: DataFrame, lines: DataFrame,
+def boolean_retrieval_batch(index: DataFrame, lines: DataFrame | Fetch,
                             queries: dict[int, str]) -> DataFrame:
     """(qid, docno, text) for many postfix queries over one scan of the index."""
     terms = list(dict.fromkeys(t for q in queries.values() for t in query_terms(q)))
@@ -77,15 +89,14 @@ def boolean_retrieval_batch(index: DataFrame, lines: DataFrame,
     hits = F.array_compact(F.array(*[F.when(_condition(q, held), F.lit(qid))
                                      for qid, q in queries.items()]))
     docs = _term_flags(index, terms)
-    return (docs.select(F.explode(hits).alias("qid"), "docno")
-            .join(lines, "docno")
-            .select("qid", "docno", "text"))
+    found = docs.select(F.explode(hits).alias("qid"), "docno")
+    return _with_text(found, lines).select("qid", "docno", "text")
 
 
-def lookup_postings(index: DataFrame, lines: DataFrame, terms: list[str]) -> DataFrame:
+def lookup_postings(index: DataFrame, lines: DataFrame | Fetch, terms: list[str]) -> DataFrame:
     """(term, df, docno, tf, text): postings of the terms with the lines they point to."""
     found = posting_rows(index.where(F.col("term").isin(terms)))
-    return found.join(lines, "docno").select("term", "df", "docno", "tf", "text")
+    return _with_text(found, lines).select("term", "df", "docno", "tf", "text")
 
 
 def absent_terms(index: DataFrame, terms: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corvane.functions.tokens import (
     SPACE_DELIMITERS,
@@ -51,11 +51,17 @@ def vocabulary_size(counts: DataFrame) -> DataFrame:
 
 
 def vocabulary_edges(counts: DataFrame, k: int = 3) -> DataFrame:
-    """(place, term, cnt): the first and the k-th to last term in byte order."""
+    """(place, term, cnt): the first and the k-th to last term in byte order.
+
+    With fewer than ``k`` terms there is no k-th to last one.
+    """
     first = counts.orderBy("term").limit(1).withColumn("place", F.lit("first"))
-    tail = counts.orderBy(F.desc("term")).limit(k)
-    last = tail.orderBy("term").limit(1).withColumn("place", F.lit(f"last_{k}"))
-    return first.unionByName(last).select("place", "term", "cnt")
+    # The window sees the k rows of the limit.
+    tail = (counts.orderBy(F.desc("term")).limit(k)
+            .withColumn("from_end", F.row_number().over(Window.orderBy(F.desc("term")))))
+    last = tail.where(F.col("from_end") == k).withColumn("place", F.lit(f"last_{k}"))
+    names = ["place", "term", "cnt"]
+    return first.select(names).unionByName(last.select(names))
 
 
 def term_recount(counts: DataFrame) -> DataFrame:

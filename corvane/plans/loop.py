@@ -15,7 +15,7 @@ def iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], start: int
 
     With ``base`` each state is kept as ``base/iterNNNN`` and a run with
     ``start > 0`` resumes from the stored state. Without it the lineage is cut
-    every ``every`` iterations.
+    every ``every`` iterations and after the last one; only the newest cut is kept.
     """
     spark = state.sparkSession
     schema = state.schema
@@ -33,6 +33,6 @@ def iterate(state: DataFrame, step: Callable[[DataFrame], DataFrame], start: int
         if base is not None:
             state.write.mode("overwrite").parquet(saved(i + 1))
             state = spark.read.schema(schema).parquet(saved(i + 1))
-        elif (i + 1 - start) % every == 0 and i + 1 < end:
+        elif (i + 1 - start) % every == 0 or i + 1 == end:
             state = cut = materialize(state, "iter", replaces=[cut])
     return state

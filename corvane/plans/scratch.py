@@ -35,18 +35,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/corvane/{_app(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = (),
+                keyed_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
     """Write ``df`` once and return a scan of the written table.
 
     ``replaces`` are materialized tables nothing else reads any more; they are
     deleted once the new table stands, so a loop holds a few tables at a time.
+    With ``keyed_by`` the table is laid out in as many hash buckets of these columns as
+    a shuffle has partitions: joins on them don't shuffle it again. ``dealt`` says that
+    ``df`` comes out of a shuffle on these columns already, an aggregate on them for one.
     """
     spark = df.sparkSession
     database = f"corvane_{_app(spark)}"
     place = f"{scratch_dir(spark)}/corvane/{_app(spark)}/tables".replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
     table = f"{database}.{re.sub(r'[^0-9A-Za-z]', '_', name)}_{uuid.uuid4().hex}".lower()
-    df.write.format("parquet").saveAsTable(table)
+    if keyed_by:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = df if dealt else df.repartition(buckets, *keyed_by)
+        (rows.write.format("parquet").option("compression", "zstd")
+         .bucketBy(buckets, *keyed_by).sortBy(*keyed_by).saveAsTable(table))
+    else:
+        df.write.format("parquet").option("compression", "zstd").saveAsTable(table)
     release(*replaces)
     stored = spark.table(table)
     stored.scratch_table = table

@@ -5,32 +5,47 @@ Every binding covers its tables as a whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-DOC_LINES = 1_000_000
+# More than any text can have: a line number within a text is a 32-bit position.
+DOC_LINES = 1 << 31
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt over the cluster when the files hold fewer splits than it has cores.
+def lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """(docno, text): every line of every document; docno = doc_id * 2147483648 + line.
 
-    Stored data of any size has more splits than that and is left where it is.
+    ``partitions`` deals the documents over as many tasks, for a file that is one split.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    if partitions is not None:
+        documents = documents.repartition(partitions, "doc_id")
+    rows = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return rows.select((F.col("doc_id") * DOC_LINES + F.col("line")).alias("docno"), "text")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(docno, text): every line of every document; docno = doc_id * 1000000 + line."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = (_spread(documents, "doc_id")
-            .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")))
-    docno = F.when(F.col("line") < DOC_LINES, F.col("doc_id") * DOC_LINES + F.col("line")).otherwise(
-        F.raise_error(F.lit("a document has too many lines for its docnos")))
-    return rows.select(docno.cast("bigint").alias("docno"), "text")
+def line_fetcher(spark: SparkSession, sf_dir: str) -> Callable[[DataFrame], DataFrame]:
+    """A function from (docno) rows, each docno once, to their (docno, text) lines.
+
+    The document is part of the docno: documents are joined first and only those asked
+    for are split.
+    """
+    def fetch(docnos: DataFrame) -> DataFrame:
+        asked = (docnos.select(F.expr(f"docno div {DOC_LINES}L").alias("doc_id"),
+                               (F.col("docno") % DOC_LINES).cast("int").alias("line"))
+                 .groupBy("doc_id").agg(F.collect_list("line").alias("asked")))
+        parts = (table(spark, sf_dir, "documents").join(asked, "doc_id")
+                 .select("doc_id", "asked", F.split("text", "\n").alias("parts")))
+        return (parts.select("doc_id", "parts", F.explode("asked").alias("line"))
+                .select((F.col("doc_id") * DOC_LINES + F.col("line")).alias("docno"),
+                        F.get("parts", F.col("line")).alias("text")))
+
+    return fetch
 
 
 def observations(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -72,8 +87,8 @@ def part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchase_flow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Directed graph of parts, their buyers and their suppliers.
 
-    A part points to the parts on the next line of an order, once for each
-    customer who bought it and once for each supplier. Ids are 3 * key plus 0 for
+    A part points to the parts on the next line of an order, to a customer once for
+    every line they bought it on, and once to each supplier. Ids are 3 * key plus 0 for
     parts, 1 for customers, 2 for suppliers. Customers are nodes without out-links
     and suppliers are not listed as nodes.
     """
@@ -83,7 +98,7 @@ def purchase_flow(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
                                                 (F.col("b") * 3).alias("dst"))
     buyers = (items.join(orders, items.l_orderkey == orders.o_orderkey)
               .select((F.col("l_partkey") * 3).alias("src"),
-                      (F.col("o_custkey") * 3 + 1).alias("dst")).distinct())
+                      (F.col("o_custkey") * 3 + 1).alias("dst")))
     suppliers = items.select((F.col("l_partkey") * 3).alias("src"),
                              (F.col("l_suppkey") * 3 + 2).alias("dst")).distinct()
     parts = table(spark, sf_dir, "part").select((F.col("p_partkey") * 3).alias("id"))

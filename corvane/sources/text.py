@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corvane.functions.tokens import SPACE_DELIMITERS
@@ -16,28 +19,55 @@ def read_text(spark: SparkSession, path: str | list[str], partitions: int | None
     return lines if partitions is None else lines.repartition(partitions)
 
 
+_PLACED = "file string, block long, at long, text string"
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with their byte offset in their split, cut at a lone CR as well.
+
+    A task reads a split's rows in order, so a running sum is all it takes.
+    """
+    running, split = 0, None
+    for batch in batches:
+        lines = batch.column(0).cast(pa.large_binary()).to_pylist()
+        places = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+        at, out, of = [], [], []
+        for value, place in zip(lines, places):
+            if place != split:
+                running, split = 0, place
+            end = running + len(value) + 1
+            # The CR of a final CR LF ends the same line as the LF.
+            pieces = value.split(b"\r") if b"\r" in value else [value]
+            for piece in pieces[:-1] if len(pieces) > 1 and not pieces[-1] else pieces:
+                at.append(running)
+                out.append(piece)
+                of.append(place)
+                running += len(piece) + 1
+            running = end
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f for f, _ in of], pa.string()), pa.array([b for _, b in of], pa.int64()),
+             pa.array(at, pa.int64()), pa.array(out, pa.binary()).view(pa.string())],
+            names=["file", "block", "at", "text"])
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(docno, text): the lines of a collection with their byte offset as docno.
 
-    Several files count as one text in path order. Offsets are prefix sums of the
-    line lengths: inside a split, whose rows one task has read anyway, and over
-    the splits, of which there is one light row each.
+    A line ends at LF, CR LF or CR. Several files count as one text in path order. The
+    text is not shuffled: offsets run inside a split, and the splits' starts, one light
+    row each, are sums of the splits' lengths.
     """
-    # Cut at line feeds only, so that every line is exactly one byte longer than its value.
+    # Cut at line feeds only, so that every row is exactly one byte longer than its value.
     raw = (spark.read.option("lineSep", "\n").text(path)
            .select("value", F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block")))
-    size = F.octet_length("value") + 1
-    in_split = Window.partitionBy("file", "block").orderBy("seq")
     over_splits = Window.orderBy("file", "block")
-    starts = (raw.groupBy("file", "block").agg(F.sum(size).alias("bytes"))
+    starts = (raw.groupBy("file", "block").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
               .select("file", "block", (F.sum("bytes").over(over_splits) - F.col("bytes"))
                       .alias("start")))
-    placed = (raw.withColumn("seq", F.monotonically_increasing_id())
-              .withColumn("upto", F.sum(size).over(in_split) - size))
-    return (placed.join(starts, ["file", "block"])
-            .select((F.col("start") + F.col("upto")).alias("docno"),
-                    F.regexp_replace("value", "\r$", "").alias("text")))
+    return (raw.mapInArrow(_placed, _PLACED)
+            .join(F.broadcast(starts), ["file", "block"])  # one row for each split
+            .select((F.col("start") + F.col("at")).alias("docno"), "text"))
 
 
 def _fields(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -57,9 +87,12 @@ def read_observations(spark: SparkSession, path: str | list[str], type_name: str
 def read_scored_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(a, b, pmi): lines ``(a, b)<TAB>number`` as the PMI writer leaves them."""
     rows = read_observations(spark, path, "double")
-    pair = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", 1)
-    other = F.regexp_extract("k", r"^\((\S+), (\S+)\)$", 2)
-    return rows.select(pair.alias("a"), other.alias("b"), F.col("v").alias("pmi"))
+    # A term holds any character but the space among the delimiters.
+    pattern = r"^\(([^ ]+), ([^ ]+)\)\z"
+    key = F.when(F.col("k").rlike(pattern), F.col("k")).otherwise(
+        F.raise_error(F.concat(F.lit("not a pair of terms: "), F.col("k"))))
+    return rows.select(F.regexp_extract(key, pattern, 1).alias("a"),
+                       F.regexp_extract(key, pattern, 2).alias("b"), F.col("v").alias("pmi"))
 
 
 def read_adjacency(spark: SparkSession, path: str | list[str],
@@ -95,6 +128,9 @@ def read_log(spark: SparkSession, path: str | list[str], require_content: bool =
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Typed tab-separated records with a declared schema; quotes are plain characters."""
+    """Typed tab-separated records with a declared schema; quotes are plain characters.
+
+    A field that doesn't parse as its type becomes null and isn't reported, as in Pig.
+    """
     return (spark.read.schema(schema).option("sep", "\t").option("quote", "")
             .option("mode", "PERMISSIVE").csv(path))

@@ -56,10 +56,20 @@ def test_stripes_equal_pairs(many):
     assert rows(cooccur.stripe_rows(stripes)) == rows(cooccur.cooccurrence_pairs(lines, 2))
     assert stripes.groupBy("a", "block").count().where("count > 1").isEmpty()
     assert stripes.select("block").distinct().count() > 1
+    ids = {t: i // 9 for i, t in enumerate(sorted({r[0] for r in rows(stripes, "a")}, key=str.encode))}
+    assert all(block == ids[b] for _, block, b, _ in rows(
+        stripes.selectExpr("a", "block", "explode(stripe) AS (b, n)")))
     whole = cooccur.cooccurrence_stripes(lines, 2)
     assert whole.count() == whole.select("a").distinct().count()
 
 
+@pytest.mark.parametrize("task_rows", [10, 1_000_000])
+def test_long_lines_are_cut(many, monkeypatch, task_rows):
+    data, lines = many
+    monkeypatch.setattr(cooccur._counted_pairs, "__defaults__", (3,))
+    assert rows(cooccur.pmi(lines, 1, task_rows=task_rows)) == brute(data, 1)
+
+
 def test_best_pairs(lines):
     scored = cooccur.pmi(lines, 1)
     best = max(rows(scored), key=lambda r: (r[3], ))

@@ -12,13 +12,15 @@ SF_DIR = "/root/testdata/sf0.001"
 CHECKED = ["word_count_alpha", "term_ids_by_frequency", "pmi", "group_median_compat",
            "build_inverted_index", "restore_docnos", "boolean_retrieval_batch",
            "hourly_counts_text_matching", "two_hop_neighbors", "clustering_compat",
+           "lookup_postings", "graph_stats_from_adjacency", "clustering_from_adjacency",
+           "group_max_from_tsv", "message_stats", "personalized_pagerank_resumed", "dump_ranks",
            "personalized_pagerank_multi", "pagerank", "weakly_connected_components"]
 
 needs_data = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test tables")
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._library_queries()) == set(entry._library_sql())
 
 
 @needs_data

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from corvane.operators import components, graphstats, links, pagerank, ranking
+from corvane.plans import scratch
 
 DIRECTED = ([1, 2, 3, 4], [(1, 2), (1, 3), (2, 3), (2, 4), (3, 1), (3, 9)])
 UNDIRECTED = {1: [2, 3], 2: [1, 3], 3: [1, 2, 4], 4: [3]}
@@ -49,7 +51,11 @@ def ranks_by_hand(ids, edges, source, iterations, alpha):
 
 def test_stats(graph):
     assert rows(graphstats.graph_stats(*graph)) == [(4, 6, 3, 1, 1)]
-    assert rows(graphstats.message_stats(graph[1])) == [(6, 5)]
+    assert rows(graphstats.message_stats(*graph)) == [(6, 5)]
+    known = graph[0].where("id < 3")
+    assert rows(graphstats.message_stats(known, graph[1])) == [(4, 3)]
+    assert rows(graphstats.message_stats(known, graph[1], task_rows=1)) == [(4, 3)]
+    assert rows(graphstats.message_stats(known.limit(0), graph[1])) == [(0, 0)]
     assert rows(graphstats.edge_touched_nodes(graph[1])) == [(1,), (2,), (3,), (4,), (9,)]
 
 
@@ -125,6 +131,38 @@ def test_resume(graph, tmp_path):
     straight = pagerank.personalized_pagerank(*graph, [1, 2], 10)
     assert rows(resumed) == rows(straight)
     assert (tmp_path / "run" / "iter0010").is_dir()
+    with pytest.raises(ValueError, match="sources"):
+        pagerank.personalized_pagerank(*graph, [1, 3], 10, base=base, start=4)
+    with pytest.raises(ValueError, match="stored"):
+        pagerank.personalized_pagerank(*graph, [1, 2], 10, start=4)
+
+
+def test_no_iterations(graph):
+    assert rows(pagerank.pagerank(*graph, 0)) == [(i, 0.25) for i in (1, 2, 3, 4)]
+
+
+def test_tables_left_by_convergence(spark, random_graph):
+    """A run keeps the newest state and what the result reads, whatever its length."""
+    _, _, nodes, links_ = random_graph
+
+    def tables():
+        database = "corvane_" + spark.sparkContext.applicationId.replace("-", "_")
+        return {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()}
+
+    before = tables()
+    pagerank.pagerank(nodes, links_, 30, tol=1e-9).count()
+    kinds = sorted(t.rsplit("_", 1)[0] for t in tables() - before)
+    assert kinds == ["fan_out", "iter"]
+
+
+def test_edges_are_laid_out_once(random_graph):
+    """An iteration shuffles scores only: the stored shares are read in their buckets."""
+    _, _, nodes, links_ = random_graph
+    shares, fan_out = pagerank._transition(nodes, links_, 0.15, 1_000_000)
+    laid_out = scratch.materialize(shares, "shares", keyed_by=["src"])
+    ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0).alias("score"))
+    plan = laid_out.join(ranks.hint("merge"), "src")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
 
 
 def test_reports(graph):
@@ -135,22 +173,27 @@ def test_reports(graph):
         "Source: 1", "0.42500 2", "0.42500 3"]
     assert [r.id for r in ranking.rank_all(ranks).collect()] == [2, 3, 1, 4]
     assert [r[0] for r in rows(pagerank.dump_ranks(ranks, graph[1]))] == [
-        "1\t1\t0.150000\t2 3", "2\t1\t0.425000\t3 4", "3\t1\t0.425000\t1 9", "4\t1\t0.000000\t"]
+        "1\t1\t0.150000\t0\t2 3", "2\t1\t0.425000\t0\t3 4", "3\t1\t0.425000\t0\t1 9",
+        "4\t1\t0.000000\t0\t"]
 
 
 def test_dump_of_repeated_and_many_neighbours(spark):
     ranks = spark.createDataFrame([(1, 1, 1.0)], "source BIGINT, id BIGINT, score DOUBLE")
     edges = edges_df(spark, [(1, 2), (1, 2), (1, -3), (1, 12)])
     assert [r[0] for r in rows(pagerank.dump_ranks(ranks, edges, span=10))] == [
-        "1\t1\t1.000000\t-3", "1\t1\t1.000000\t12", "1\t1\t1.000000\t2*2"]
+        "1\t1\t1.000000\t-1\t-3", "1\t1\t1.000000\t0\t2 2", "1\t1\t1.000000\t1\t12"]
 
 
 def test_two_hop(spark):
     edges = from_lists(spark, UNDIRECTED)
-    assert rows(links.two_hop_neighbors(edges), "node", "nbrs") == [
+    every = nodes_df(spark, [1, 2, 3, 4])
+    assert rows(links.two_hop_neighbors(edges, every), "node", "nbrs") == [
         (1, [2, 3, 4]), (2, [1, 3, 4]), (3, [1, 2]), (4, [1, 2])]
-    assert rows(links.two_hop_neighbors(edges, exclude_direct=True), "node", "nbrs") == [
+    assert rows(links.two_hop_neighbors(edges, every, exclude_direct=True), "node", "nbrs") == [
         (1, [4]), (2, [4]), (3, []), (4, [1, 2])]
+    some = nodes_df(spark, [3, 3, 99])
+    assert rows(links.two_hop_neighbors(edges, some), "node", "nbrs") == [(3, [1, 2])]
+    assert links.two_hop_neighbors(edges, some.limit(0)).isEmpty()
 
 
 def test_clustering(spark):
@@ -179,12 +222,15 @@ def test_neighbourhoods_of_directed_lists(spark, seed, loops, limit):
     edges = from_lists(spark, lists)
     one, two = two_hop_by_hand(lists)
     pairs = sorted((n, m) for n in two for m in two[n])
-    assert sorted(rows(links.two_hop_pairs(edges, task_pairs=limit))) == pairs
-    blocks = rows(links.two_hop_neighbors(edges, span=5, task_pairs=limit))
+    every = nodes_df(spark, sorted(set(one) | set(two)))
+    assert sorted(rows(links.two_hop_pairs(edges, every, task_pairs=limit))) == pairs
+    some = every.where("id % 3 = 0")
+    assert sorted(rows(links.two_hop_pairs(edges, some, task_pairs=limit))) == [p for p in pairs if p[0] % 3 == 0]
+    blocks = rows(links.two_hop_neighbors(edges, every, span=5, task_pairs=limit))
     assert sorted((n, m) for n, _, ms in blocks for m in ms) == pairs
     assert all(len(ms) <= 5 and ms == sorted(ms) for _, _, ms in blocks)
     assert {n for n, b, _ in blocks if b == 0} >= set(one)
-    nonempty = rows(links.two_hop_neighbors_nonempty(edges, task_pairs=limit), "node")
+    nonempty = rows(links.two_hop_neighbors_nonempty(edges, every, task_pairs=limit), "node")
     assert {r[0] for r in nonempty} == {n for n in two if two[n]}
     keys = set(one) | {n for n in two if two[n]}
     want = sorted((n, len(one[n] & two[n]) // 2, len(one[n]) * (len(one[n]) + 1) // 2) for n in keys)

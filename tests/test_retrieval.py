@@ -63,6 +63,9 @@ def test_batch_of_many_terms(index, lines):
 def test_lookup(index, lines):
     assert rows(retrieval.lookup_postings(index, lines, ["pluck", "bronze"])) == [
         ("pluck", 1, 2, 1, "red rose pluck")]
+    fetched = lambda docnos: lines.join(docnos, "docno", "left_semi")
+    assert rows(retrieval.lookup_postings(index, fetched, ["pluck", "rose"])) == rows(
+        retrieval.lookup_postings(index, lines, ["pluck", "rose"]))
     assert rows(retrieval.absent_terms(index, ["rose", "bronze", "bronze", "tin"])) == [("bronze",), ("tin",)]
 
 

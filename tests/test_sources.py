@@ -1,11 +1,12 @@
 import gzip
+from pathlib import Path
 
 import pytest
 from conftest import rows
 
 from corvane.operators import cooccur
 from corvane.plans import scratch, skew
-from corvane.sources import sinks, text as readers
+from corvane.sources import sinks, tables, text as readers
 
 
 def test_text_and_gzip(spark, tmp_path):
@@ -19,7 +20,7 @@ def test_text_and_gzip(spark, tmp_path):
 
 @pytest.mark.parametrize("split", [7, 64, 128 << 20])
 def test_byte_offsets(spark, tmp_path, split):
-    body = "é first\n\nthird line\r\n" + "x" * 90 + "\nlast"
+    body = "é first\n\nthird line\r\n" + "x" * 90 + "\nla\rst\r"
     (tmp_path / "part-0").write_bytes(body.encode())
     (tmp_path / "part-1").write_bytes(b"next\nfile\n")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -28,10 +29,20 @@ def test_byte_offsets(spark, tmp_path, split):
         one = rows(readers.read_lines(spark, str(tmp_path / "part-0")))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert sorted(one) == [(0, "é first"), (9, ""), (10, "third line"), (22, "x" * 90), (113, "last")]
+    assert sorted(one) == [(0, "é first"), (9, ""), (10, "third line"), (22, "x" * 90), (113, "la"),
+                           (116, "st")]
     both = sorted(rows(readers.read_lines(spark, [str(tmp_path / "part-0"), str(tmp_path / "part-1")])))
-    assert len({d for d, _ in both}) == 7 and both[:5] == sorted(one)
-    assert [t for _, t in both[5:]] == ["next", "file"]
+    assert len({d for d, _ in both}) == 8 and both[:6] == sorted(one)
+    assert [t for _, t in both[6:]] == ["next", "file"]
+
+
+def test_offsets_equal_read_text(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"a\rb\r\n\r\n\n\r\rc")
+    lines = readers.read_lines(spark, str(tmp_path / "a"))
+    assert sorted(rows(lines)) == [(0, "a"), (2, "b"), (5, ""), (7, ""), (8, ""), (9, ""), (10, "c")]
+    assert rows(lines, "text") == rows(readers.read_text(spark, str(tmp_path / "a")))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") < plan.index("Exchange") and "SortMergeJoin" not in plan
 
 
 def test_observations(spark, tmp_path):
@@ -59,6 +70,22 @@ def test_scored_pairs_round_trip(spark, tmp_path):
     back = readers.read_scored_pairs(spark, str(tmp_path / "pmi"))
     assert rows(back) == rows(scored, "a", "b", "pmi")
     assert rows(cooccur.max_pmi_pair(back)) == rows(cooccur.max_pmi_pair(scored))
+    odd = spark.createDataFrame([("p\x0bq", "(r,", 1.5)], "a STRING, b STRING, pmi DOUBLE")
+    sinks.write_scored_pairs(odd, str(tmp_path / "odd"))
+    assert rows(readers.read_scored_pairs(spark, str(tmp_path / "odd"))) == rows(odd)
+    (tmp_path / "bad").write_text("a b\t1.0\n")
+    with pytest.raises(Exception, match="not a pair"):
+        readers.read_scored_pairs(spark, str(tmp_path / "bad")).collect()
+
+
+def test_a_document_of_a_million_lines(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "x\n" * 1_000_000 + "last"), (2, "y")], "doc_id BIGINT, text STRING")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    lines = tables.lines(spark, str(tmp_path), partitions=2)
+    assert lines.select("docno").distinct().count() == 1_000_002
+    asked = lines.where("text != 'x'").select("docno")
+    got = rows(tables.line_fetcher(spark, str(tmp_path))(asked))
+    assert got == [(tables.DOC_LINES + 1_000_000, "last"), (2 * tables.DOC_LINES, "y")]
 
 
 def test_overwrite_and_partitions(spark, tmp_path):
@@ -103,3 +130,14 @@ def test_skew_join_equals_join(spark, how):
 
 def test_scratch_follows_the_session(spark):
     assert scratch.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_tables_are_dropped(spark):
+    folder = Path(scratch.scratch_dir(spark))
+    one = scratch.materialize(spark.range(5), "some-table")
+    here = lambda: [p for p in folder.rglob("some_table_*") if p.is_dir()]
+    assert len(here()) == 1
+    two = scratch.materialize(one.where("id > 2"), "some-table", replaces=[one])
+    assert len(here()) == 1 and rows(two) == [(3,), (4,)]
+    scratch.release(two, two, spark.range(1))
+    assert not here()

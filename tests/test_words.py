@@ -40,9 +40,17 @@ def test_vocabulary(lines):
     counts = words.word_count(lines)
     assert rows(words.vocabulary_size(counts)) == [(4,)]
     assert rows(words.vocabulary_edges(counts)) == [("first", "a", 4), ("last_3", "b", 3)]
+    assert rows(words.vocabulary_edges(counts.where("term < 'c'"))) == [("first", "a", 4)]
+    assert rows(words.vocabulary_edges(counts.limit(0))) == []
     assert {n for _, n in rows(words.term_recount(counts))} == {1}
 
 
+def test_alphabetic_is_the_whole_token(spark):
+    data = [(1, "abc\u0085 abc\u2028 abc\u2029 abc")]
+    lines = spark.createDataFrame(data, "docno BIGINT, text STRING")
+    assert rows(words.word_count_alpha(lines)) == [("abc", 1)]
+
+
 def test_ids(lines):
     expected = [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
     assert rows(words.term_ids_alphabetical(lines)) == expected
