@@ -6,11 +6,12 @@ longest prefixes, however deep the region they lie in, and become candidates whe
 they share ``LEAST`` values. Nothing is paired inside a region, so the candidates of a
 region of any size grow with its members only.
 
-Links are confirmed on the full sets in two rounds. First every set is compared with
-the neighbour whose signature agrees best. Then what the neighbours left open is
-settled: candidates, and members of a region of ``LEAST`` shared values, that still
-lie in different components. Pairs whose signatures agree in fewer than ``agree_floor``
-places are not compared: for a linked pair that is five standard deviations off.
+Links are confirmed on the full sets in three rounds, each over what the rounds before
+left in different components: every set with the neighbour whose signature agrees best,
+then all neighbours, then the members of a region of ``LEAST`` shared values, block
+against block inside the tasks. Pairs whose signatures agree in fewer than
+``agree_floor`` places are not compared: for a linked pair that is four standard
+deviations off.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corvane.llm.common import Memo, map_rows
 from corvane.operators.components import weakly_connected_components
 from corvane.plans.scratch import materialize, release
-from corvane.plans.skew import skew_join
 
 TREES, DEPTH, LEAST = 8, 8, 3
 VALUES = TREES * DEPTH
 SHINGLE_WORDS = 3
 PERCENT = 85
+BLOCK_ROWS = 512
+BLOCK_BYTES = 1 << 24
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
 _random = np.random.default_rng(20240229)
@@ -45,7 +47,7 @@ SHIFTS = _random.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 def agree_floor(percent: int) -> int:
     """Least number of agreeing signature values of a pair worth comparing."""
     p = percent / 100
-    return max(1, math.floor(VALUES * p - 5 * math.sqrt(VALUES * p * (1 - p))))
+    return max(1, math.floor(VALUES * p - 4 * math.sqrt(VALUES * p * (1 - p))))
 
 
 def shingle_set(text: str | None, words: int, memo: Memo) -> np.ndarray:
@@ -97,12 +99,6 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     "doc_id long, n_shingles long, node long, sig binary", rows)
 
 
-def _shared(a: bytes, b: bytes) -> int:
-    """Values shared from the start of two keys."""
-    differ = np.frombuffer(a, ">u4") != np.frombuffer(b, ">u4")
-    return int(differ.argmax()) if differ.any() else DEPTH
-
-
 def _neighbours(nodes: DataFrame) -> DataFrame:
     """(a, b): sets side by side in a tree's order that share LEAST values or more.
 
@@ -182,34 +178,45 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, floor: int) -> DataFrame:
     return map_rows(both.select("a", "b", "sig_a", "sig_b"), "a long, b long, agree int", rows, 4096)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int,
-               percent: int) -> DataFrame:
-    """The pairs whose full sets are alike enough. Only sets that occur in a pair travel."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, members): the full sets of the asked nodes, made again from their texts."""
     owners = nodes.select("node", "id").join(asked, "node")
     texts = (docs.select("doc_id", "text")
              .join(owners, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text"))
     memo = _word_memo()
 
-    def sets(part: dict[str, list]) -> Iterator[tuple]:
+    def rows(part: dict[str, list]) -> Iterator[tuple]:
         for node, text in zip(part["node"], part["text"]):
             found = shingle_set(text, words, memo)
             if len(found) and _node(found) == node:  # rows may share an id
                 yield node, found.tobytes()
 
-    full = materialize(map_rows(texts, "node long, members binary", sets), "sets")
+    return map_rows(texts, "node long, members binary", rows)
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, given sorted, are alike enough; the sizes alone may tell that not."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int,
+               percent: int) -> DataFrame:
+    """The pairs whose full sets are alike enough. Only sets that occur in a pair travel."""
+    full = materialize(_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
+                             docs, nodes, words), "sets")
     both = (pairs.select("a", "b")
             .join(full.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
             .join(full.select(F.col("node").alias("b"), F.col("members").alias("right")), "b"))
 
-    def alike(part: dict[str, list]) -> Iterator[tuple]:
+    def rows(part: dict[str, list]) -> Iterator[tuple]:
         for a, b, left, right in zip(part["a"], part["b"], part["left"], part["right"]):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= percent * (len(x) + len(y) - common):
+            if _alike(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent):
                 yield a, b
 
-    links = materialize(map_rows(both.select("a", "b", "left", "right"), "a long, b long", alike),
+    links = materialize(map_rows(both.select("a", "b", "left", "right"), "a long, b long", rows),
                         "confirmed")
     release(full)
     return links
@@ -221,28 +228,133 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         F.col("id").alias("node"), "component")
 
 
-def _open_pairs(nodes: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs across components inside the regions of LEAST shared values.
+def _across(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """(a, b) of the pairs whose ends lie in different components."""
+    def side(end: str) -> DataFrame:
+        return component.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(
+        "of_a != of_b").select("a", "b")
 
-    Members of a region's largest component need no check among themselves, so only
-    the others are joined to the region.
+
+def _blocks(members: DataFrame, regions: DataFrame, weight: str) -> DataFrame:
+    """``members`` with a pair of blocks (``lo``, ``hi``), once for every pair a member is in.
+
+    Members of the region's largest component need no check among themselves: their
+    blocks meet the others' blocks only. A block takes about BLOCK_ROWS members or
+    BLOCK_BYTES of ``weight``, so a task holds two blocks whatever a region's size.
+    """
+    is_main = F.col("component") == F.col("main")
+    sizes = (members.join(regions, "region").groupBy("region")
+             .agg(F.count_if(~is_main).alias("n_others"), F.count_if(is_main).alias("n_main"),
+                  F.sum(F.when(~is_main, F.col(weight)).otherwise(0)).alias("w_others"),
+                  F.sum(F.when(is_main, F.col(weight)).otherwise(0)).alias("w_main")))
+
+    def count(kind: str):
+        return F.greatest(F.ceil(F.col(f"n_{kind}") / BLOCK_ROWS), F.ceil(F.col(f"w_{kind}") / BLOCK_BYTES),
+                          F.lit(1)).cast("int").alias(f"b_{kind}")
+
+    dealt = members.join(regions.join(sizes.select("region", count("others"), count("main")), "region"), "region")
+    own = F.pmod(F.xxhash64("node"), F.when(is_main, F.col("b_main")).otherwise(F.col("b_others"))).cast("int")
+
+    def up_to(n: str):
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    def pair(lo, hi):
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    with_others = F.transform(up_to("b_others"), lambda i: pair(F.least(i, F.col("own")), F.greatest(i, F.col("own"))))
+    with_main = F.transform(up_to("b_main"), lambda j: pair(F.col("own"), F.col("b_others") + j))
+    of_main = F.transform(up_to("b_others"), lambda i: pair(i, F.col("b_others") + F.col("own")))
+    return (dealt.withColumn("own", own)
+            .withColumn("pair", F.explode(F.when(is_main, of_main).otherwise(F.concat(with_others, with_main))))
+            .select("region", "pair.lo", "pair.hi",
+                    F.when(is_main, F.col("b_others") + F.col("own")).otherwise(F.col("own")).alias("own"),
+                    *[c for c in members.columns if c != "region"]))
+
+
+def _asked(table: pa.Table, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the pairs between a table's two blocks that have to be compared: other
+    components, agreeing signatures, and no earlier tree whose region holds both."""
+    own, lo, hi = (table.column(c).to_numpy() for c in ("own", "lo", "hi"))
+    component, tree = table.column("component").to_numpy(), int(table.column("tree")[0].as_py())
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), ">u4").reshape(-1, VALUES).astype(np.uint32)
+    left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+    agree = np.zeros((len(left), len(right)), np.int16)
+    before = np.zeros(agree.shape, bool)
+    for t in range(TREES):
+        shared = np.ones(agree.shape, bool)
+        for v in range(t * DEPTH, (t + 1) * DEPTH):
+            same = sig[left, v][:, None] == sig[right, v][None, :]
+            agree += same
+            if v < t * DEPTH + LEAST:
+                shared &= same
+        if t < tree:
+            before |= shared
+    wanted = (agree >= floor) & ~before & (component[left][:, None] != component[right][None, :])
+    if lo[0] == hi[0]:
+        wanted &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+    i, j = np.nonzero(wanted)
+    first = np.argsort(-agree[i, j], kind="stable")
+    return left[i[first]], right[j[first]]
+
+
+def _region_links(docs: DataFrame, nodes: DataFrame, component: DataFrame, words: int, percent: int,
+                  floor: int) -> DataFrame:
+    """(a, b) links across components inside the regions of LEAST shared values.
+
+    Pairs are formed inside tasks, block against block, and only links leave them. A
+    first pass on signatures names the sets that have a partner to be compared with; a
+    second one compares full sets, most agreeing pairs first, and skips pairs that links
+    of the same two blocks have joined meanwhile.
     """
     width = 4 * DEPTH
-    regions = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", t * width + 1, 4 * LEAST))
+    regions = F.array(*[F.struct(F.lit(t).alias("tree"),
+                                 F.xxhash64(F.lit(t), F.substring("sig", t * width + 1, 4 * LEAST)).alias("region"))
                         for t in range(TREES)])
-    members = materialize(nodes.join(component, "node")
-                          .select(F.explode(regions).alias("region"), "node", "component"), "members")
+    members = (nodes.join(component, "node").select("node", "component", "sig", F.explode(regions).alias("x"))
+               .select("x.region", "x.tree", "node", "component", "sig"))
     sizes = members.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = materialize(
         sizes.groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                    F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
-        .where("parts > 1"), "mixed")
-    inside = members.join(mixed.select("region", "main"), "region")
-    others = inside.where("component != main").select(
-        "region", F.col("node").alias("a"), F.col("component").alias("own"))
-    everyone = inside.select("region", F.col("node").alias("b"), "component")
-    pairs = skew_join(everyone, others, ["region"], mixed, by=["b"]).where("own != component")
-    return _ordered(pairs.select("a", "b"))
+                                    F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts"), "mixed")
+    inside = materialize(members.join(mixed.select("region"), "region")
+                         .withColumn("bytes", F.lit(4 * VALUES)), "members")
+
+    def named(table: pa.Table) -> pa.Table:
+        i, j = _asked(table, floor)
+        return table.take(np.unique(np.concatenate((i, j)))).select(["region", "tree", "node", "component", "sig"])
+
+    key = ["region", "lo", "hi"]
+    flagged = (_blocks(inside, mixed, "bytes").groupBy(key)
+               .applyInArrow(named, "region long, tree int, node long, component long, sig binary").distinct())
+    flagged = materialize(flagged, "flagged", replaces=[inside])
+    full = materialize(_sets(flagged.select("node").distinct(), docs, nodes, words), "sets")
+    held = flagged.join(full, "node").withColumn("bytes", F.octet_length("members"))
+
+    def confirmed(table: pa.Table) -> pa.Table:
+        node, component = table.column("node").to_pylist(), table.column("component").to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
+        root = {c: c for c in component}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        found = []
+        for i, j in zip(*_asked(table, floor)):
+            a, b = find(component[i]), find(component[j])
+            if a != b and _alike(sets[i], sets[j], percent):
+                root[a] = b
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()),
+                         "b": pa.array([f[1] for f in found], pa.int64())})
+
+    links = materialize(_blocks(held, mixed, "bytes").groupBy(key).applyInArrow(confirmed, "a long, b long")
+                        .distinct(), "region_links")
+    release(full, flagged, mixed)
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -267,13 +379,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
             .select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = _confirmed(materialize(_ordered(best), "best"), docs, nodes, words, percent)
     component = materialize(_components(nodes, links), "components")
-    side = lambda end: component.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-    rest = candidates.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("of_a != of_b")
-    left_open = _agreeing(_open_pairs(nodes, component), nodes, floor).select("a", "b")
-    rest = materialize(rest.select("a", "b").unionByName(left_open).distinct(), "open")
-    more = _confirmed(rest, docs, nodes, words, percent)
-    if not more.isEmpty():
-        component = materialize(_components(nodes, links.unionByName(more)), "components")
+    rest = materialize(_across(candidates, component), "rest")
+    for more in (lambda: _confirmed(rest, docs, nodes, words, percent),
+                 lambda: _region_links(docs, nodes, component, words, percent, floor)):
+        links = links.unionByName(more())
+        component = materialize(_components(nodes, links), "components")
     names = (nodes.join(component, "node").groupBy("component")
              .agg(F.min("id").alias("component_id")))
     named = component.join(names, "component").select("node", "component_id")

@@ -176,9 +176,9 @@ def _near_sql() -> str:
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[\x20\x09-\x0D]+'),
-    x -> x <> '') AS w FROM documents),
+  SELECT doc_id, [x FOR x IN string_split_regex(
+    translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[\x20\x09-\x0D]+')
+    IF x <> ''] AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
     ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
