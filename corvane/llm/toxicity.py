@@ -28,7 +28,7 @@ from corvane.llm.common import Memo, map_rows
 
 MAX_EXAMPLES = 12_000
 MAX_TERMS = 512
-LEAST_G = 30.0
+LEAST_G = 20.0
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
