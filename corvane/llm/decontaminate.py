@@ -158,6 +158,8 @@ def _annotated(docs: DataFrame, block: list) -> DataFrame:
             template, values, kinds = canonical(row[body], memo)
             signed = values.astype(np.int64)
             hits: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+            for match in before:  # an item's windows may lie in several blocks
+                hits[match["item_id"]] = [match["hits"], match["changed"]]
             for (width, exact), (hashes, owners) in known.items():
                 mine = window_hashes(values if exact else template, width).astype(np.int64)
                 place = np.searchsorted(hashes, mine)
@@ -172,8 +174,7 @@ def _annotated(docs: DataFrame, block: list) -> DataFrame:
                     for item_id, same in matched.items():
                         hits[item_id][0] += 1
                         hits[item_id][1] += not same
-            yield (*row, before + [{"item_id": i, "hits": n, "changed": c}
-                                   for i, (n, c) in sorted(hits.items())])
+            yield (*row, [{"item_id": i, "hits": n, "changed": c} for i, (n, c) in sorted(hits.items())])
 
     return map_rows(docs, docs.schema, rows)
 

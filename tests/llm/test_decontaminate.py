@@ -83,7 +83,7 @@ def question(rng, name, n, unit):
     return f"The {head} of {name} has {n} {unit}, and {name} adds {n} {unit} to the {rng.choice(WORDS)} again."
 
 
-@pytest.mark.parametrize("block_rows", [7, dec.BLOCK_ROWS])
+@pytest.mark.parametrize("block_rows", [60, dec.BLOCK_ROWS])
 def test_by_definition(spark, block_rows):
     rng = random.Random(3)
     items, rows = [], []
