@@ -5,7 +5,9 @@ A tree builder reads tags in any state of repair: start tags close what they imp
 terms), unknown end tags are ignored, and what is open at the end is closed. Elements
 that aren't shown are left out: head matter, scripts, styles, templates, comments,
 the ``hidden`` attribute, hidden inputs, and elements hidden by an inline style or by a
-``display:none`` or ``visibility:hidden`` rule of the page for a tag, class or id.
+``display:none`` or ``visibility:hidden`` rule of the page for a tag, class or id. Of
+the rules for a selector the last one that sets a property holds, unless an earlier one
+is ``!important``; rules in blocks for print or under other conditions are left out.
 
 Blocks stand on lines of their own, with a blank line around paragraphs, headings,
 lists, quotes, preformatted text and tables. List items carry ``- `` or their number and
@@ -27,8 +29,11 @@ from corvane.llm.common import map_rows
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style title template noscript iframe noembed noframes object audio video canvas svg "
-    "math datalist param source track meta link base area map".split())
+    "head script style title template noscript iframe noembed noframes object audio video canvas "
+    "datalist param source track meta link base area map".split())
+UNDRAWN = frozenset(  # in SVG and MathML
+    "defs symbol desc metadata clippath mask marker pattern lineargradient radialgradient filter "
+    "annotation annotation-xml".split())
 SPACED = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu".split())
 BLOCK = SPACED | frozenset(
@@ -61,8 +66,10 @@ MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-ASKED = re.compile(r"hidden|style|class|id|type|colspan|start|value|alt", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+ASKED = re.compile(r"hidden|style|class|id|type|colspan|start|value|alt|media", re.I)
+CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'|[{};]|[^{};/\"']+|.", re.S)
+ON_SCREEN = re.compile(r"@media\s+(?:only\s+)?(?:screen|all)\s*|@layer\b.*|@media\s*", re.I | re.S)
+SETS = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)[^;!]*(!\s*important)?", re.I)
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SIMPLE = re.compile(r"[.#]?[\w-]+")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -81,10 +88,63 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(source)}
 
 
+def _holds(at_rule: str) -> bool:
+    """Whether the block of an at-rule holds on every screen."""
+    if at_rule[:6].lower() != "@media":
+        return ON_SCREEN.fullmatch(at_rule) is not None
+    first, *more = at_rule[6:].split(",")
+    return any(ON_SCREEN.fullmatch("@media " + query.strip()) for query in (first, *more))
+
+
+def collect_rules(sheet: str, values: dict[tuple[str, str], tuple[str, bool]]) -> None:
+    """Adds display and visibility of the sheet's simple selectors to ``values``, as
+    (selector, property) -> (value, important). What is open at the end is closed."""
+    # Open blocks: selectors, or "" of an at-rule; whether it holds; declarations before it.
+    blocks: list[tuple[str, bool, str]] = []
+    body = ""
+
+    def end_block() -> None:
+        selectors, holds, _ = blocks[-1]
+        if not selectors or not holds:
+            return
+        for selector in (x.strip() for x in selectors.split(",")):
+            if SIMPLE.fullmatch(selector):
+                for name, value, important in SETS.findall(body):
+                    key = selector.lower(), name.lower()
+                    if important or not values.get(key, ("", False))[1]:
+                        values[key] = value.lower(), bool(important)
+
+    for m in CSS.finditer(sheet):
+        piece = m[0]
+        if piece.startswith("/*"):
+            continue
+        if piece == "{":
+            holds = not blocks or blocks[-1][1]
+            inside = bool(blocks and blocks[-1][0])  # a rule nested in a rule
+            before, _, head = body.rpartition(";") if inside else ("", "", body)
+            head, body = head.strip(), ""
+            if head.startswith("@"):
+                blocks.append(("", holds and not inside and _holds(head), before))
+            else:
+                blocks.append((head or "*", holds and not inside, before))
+        elif piece == "}":
+            if blocks:
+                end_block()
+            before = blocks.pop()[2] if blocks else ""
+            body = before + ";" if blocks and blocks[-1][0] else ""
+        elif piece == ";" and not (blocks and blocks[-1][0]):
+            body = ""  # the end of @import and the like
+        else:
+            body += piece
+    while blocks:
+        end_block()
+        body = blocks.pop()[2]
+
+
 def build(page: str) -> tuple[Node, set[str]]:
     """The tree of a page and the simple selectors its style rules hide."""
     root = Node("#root", {})
-    stack, hidden = [root], set()
+    stack, values = [root], {}
     lowered = None
 
     def close(tags: frozenset[str], stop: frozenset[str]) -> None:
@@ -131,6 +191,8 @@ def build(page: str) -> tuple[Node, set[str]]:
             if tag in IMPLIED:
                 close(*IMPLIED[tag])
             node = Node(tag, _attributes(m[3]))
+            if tag in UNDRAWN and any(n.tag in ("svg", "math") for n in stack):
+                node.attributes["hidden"] = ""
             stack[-1].children.append(node)
             if tag in RAW:
                 if lowered is None:
@@ -138,10 +200,8 @@ def build(page: str) -> tuple[Node, set[str]]:
                 end = lowered.find(f"</{tag}", at)
                 end = size if end < 0 else end
                 if tag == "style":
-                    for selectors, body in RULE.findall(page[at:end]):
-                        if HIDES.search(body):
-                            hidden.update(s.strip().lower() for s in selectors.split(",")
-                                          if SIMPLE.fullmatch(s.strip()))
+                    if _holds(f"@media {node.attributes.get('media', '')}"):
+                        collect_rules(page[at:end], values)
                 elif tag in ("textarea", "xmp"):
                     node.children.append(page[at:end])
                 close_at = page.find(">", end)
@@ -150,6 +210,8 @@ def build(page: str) -> tuple[Node, set[str]]:
                 stack.append(node)
             elif tag not in VOID:
                 stack.append(node)  # HTML ignores the slash of elements with content
+    hidden = {selector for (selector, name), (value, _) in values.items()
+              if (name, value) in (("display", "none"), ("visibility", "hidden"))}
     return root, hidden
 
 

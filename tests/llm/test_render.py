@@ -112,3 +112,24 @@ def test_extract_rows(spark):
     got = sorted(map(tuple, render.extract(pages).collect()), key=repr)
     assert got == [(1, "u", "é", 1), (1, "u", "é", 1), (2, None, "", 0), (3, "v", "", 0)]
     assert render.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("css, want", [
+    ("@media print {.x{display:none}}", "seen"), ("@media (max-width: 600px) {p{color:red} .x{display:none}}", "seen"),
+    ("@media print {p{color:red}} .x{display:none}", ""), ("@media screen {.x{display:none}}", ""),
+    ("@media print, screen {.x{display:none}}", ""), ("@media all { .x {display:none} }", ""),
+    ("@import 'a.css'; .x{display:none}", ""), ("/* .y{} */ .x{display:none", ""),
+    (".x{display:none} .x{display:block}", "seen"), (".x{display:block} .x{display:none}", ""),
+    (".x{display:none!important} .x{display:block}", ""), (".x{display:none;display:block}", "seen"),
+    ("@supports (display: grid) {.x{display:none}}", "seen"), (".y{content:'}'} .x{display:none}", ""),
+    (".x{display:none; &:hover{color:red}}", ""), (".x{color:red; .y{display:none}}", "seen"),
+    ("@media print {@media screen {.x{display:none}}}", "seen"), (".x{visibility:hidden}", ""),
+])
+def test_rules_that_hold_on_the_screen(css, want):
+    assert render.render(f"<style>{css}</style><p class=x>seen</p>") == want
+
+
+def test_print_sheet_formulas_and_drawings():
+    page = ("<style media=print>.x{display:none}</style><p class=x>seen</p>"
+            "<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b <svg><title>no</title><defs><text>no</text></defs><text>label</text></svg></p>")
+    assert render.render(page) == "seen\n\na x=2 b label"
