@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvane.llm import (
@@ -11,11 +12,14 @@ from corvane.llm import (
     forest,
     licenses,
     linedup,
+    merkle,
     mixing,
+    packing,
     ppm,
     render,
     secret_scan,
     toxicity,
+    vectors,
     winnow,
 )
 from corvane.llm.common import held_out, learnt
@@ -75,12 +79,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_language_id, op2_document_fingerprints, op3_secret_scan, op4_toxicity,
         op5_license_scan, op6_line_dedup, op7_source_mixing, op8_html_extraction,
-        op9_minhash_near_dedup, op10_benchmark_decontamination,
+        op9_minhash_near_dedup, op10_benchmark_decontamination, op11_packing,
+        op12_merkle_manifest, op13_vector_compression,
     )
 }
 
@@ -195,10 +215,102 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least.c AS component_id, doc_id = l
 FROM sets JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) AS least ON least.x = doc_id"""
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit; DuckDB has no function for it."""
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END"
+    byte = f"list_reduce(list_concat([xor(a, b)], [0::BIGINT FOR k IN range(8)]), lambda c, k: {bit})"
+    return (f"xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], "
+            f"[ascii(x)::BIGINT FOR x IN string_split({text}, '')]), lambda a, b: {byte}))")
+
+
+def _merkle_sql() -> str:
+    """Levels of every tree as lists, then every leaf walked up to the root."""
+    def fields(n_chars: str) -> str:
+        return " || ".join(
+            f"coalesce(strlen(({c})::VARCHAR)::VARCHAR || ':' || ({c})::VARCHAR, '-')"
+            for c in ("doc_id", "source", "documents.lang", n_chars, "text"))
+
+    pairs = "[sha256(nodes[2 * i - 1] || coalesce(nodes[2 * i], '')) FOR i IN range(1, (len(nodes) + 1) // 2 + 1)]"
+    return f"""
+WITH RECURSIVE langs AS (
+  SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM documents)),
+leaves AS (
+  SELECT doc_id, t, sha256({fields('n_chars')}) AS leaf,
+    CASE WHEN coalesce({_crc32_sql('doc_id::VARCHAR')} % {merkle.TAMPER_EVERY} = 0, false)
+      THEN sha256({fields('n_chars::HUGEINT + 1')}) ELSE sha256({fields('n_chars')}) END AS seen
+  FROM documents JOIN langs ON documents.lang IS NOT DISTINCT FROM langs.lang),
+placed AS (
+  SELECT *, row_number() OVER () AS r,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+level(t, h, nodes) AS (
+  SELECT t, 0, list(leaf ORDER BY place) FROM placed GROUP BY t
+  UNION ALL SELECT t, h + 1, {pairs} FROM level WHERE len(nodes) > 1),
+subroots AS (SELECT t, nodes[1] AS subroot FROM level WHERE len(nodes) = 1),
+top(h, nodes) AS (
+  SELECT 1000, list(subroot ORDER BY t) FROM subroots
+  UNION ALL SELECT h + 1, {pairs} FROM top WHERE len(nodes) > 1),
+steps AS (
+  SELECT t, row_number() OVER (PARTITION BY t ORDER BY h) - 1 AS s, h, nodes FROM (
+    SELECT t, h, nodes FROM level WHERE len(nodes) > 1
+    UNION ALL SELECT t, top.h, top.nodes FROM top CROSS JOIN langs WHERE len(top.nodes) > 1)),
+walk(r, t, s, i, node, proof) AS (
+  SELECT r, t, 0::BIGINT, place, seen, '' FROM placed
+  UNION ALL
+  SELECT r, t, s + 1, j // 2, sha256(CASE WHEN j % 2 = 1 THEN sibling || node ELSE node || sibling END), proof || sibling
+  FROM (
+    SELECT r, w.t, w.s, node, proof, j, coalesce(nodes[xor(j, 1) + 1], '') AS sibling
+    FROM (SELECT walk.*, h, nodes, CASE WHEN h = 1000 THEN walk.t ELSE i END AS j
+          FROM walk JOIN steps ON steps.t = walk.t AND steps.s = walk.s) AS w)),
+ends AS (SELECT r, arg_max(node, s) AS folded, arg_max(proof, s) AS proof FROM walk GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed JOIN subroots USING (t) JOIN ends USING (r)
+  CROSS JOIN (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)"""
+
+
+def _vector_sql() -> str:
+    """Every part against every entry, component by component, in each round."""
+    parts, entries = vectors.PARTS, vectors.ENTRIES
+    steps = []
+    for round_ in range(vectors.ROUNDS + 1):
+        steps.append(f"""
+assigned{round_} AS (
+  SELECT vec_id, p, min(struct_pack(d := d, e := e)) AS near FROM (
+    SELECT vec_id, cells.p, e, sum((x - y) * (x - y))::BIGINT AS d
+    FROM cells JOIN book{round_} AS b ON b.p = cells.p AND b.i = cells.i GROUP BY vec_id, cells.p, e)
+  GROUP BY vec_id, p)""")
+        if round_ < vectors.ROUNDS:
+            steps.append(f"""
+moved{round_} AS (
+  SELECT cells.p, near.e AS e, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM cells JOIN assigned{round_} AS a ON a.vec_id = cells.vec_id AND a.p = cells.p GROUP BY cells.p, near.e, i),
+book{round_ + 1} AS (
+  SELECT b.p, b.e, b.i, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END AS y
+  FROM book{round_} AS b LEFT JOIN moved{round_} AS m ON m.p = b.p AND m.e = b.e AND m.i = b.i)""")
+    last = vectors.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, [floor({vectors.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+cells AS (
+  SELECT vec_id, (k - 1) // (len(v) // {parts}) AS p, (k - 1) % (len(v) // {parts}) AS i, v[k] AS x
+  FROM (SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS k FROM kept)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}),
+book0 AS (SELECT p, e, i, x AS y FROM cells JOIN seeds USING (vec_id)),{','.join(steps)},
+codes AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(near.e)), 2, '0'), '' ORDER BY p) AS code, sum(near.d)::BIGINT AS error
+  FROM assigned{last} GROUP BY vec_id),
+sums AS (SELECT label, sum(error)::BIGINT AS label_error FROM codes JOIN kept USING (vec_id) GROUP BY label)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY p, e, i)) FROM book{last}) AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id) JOIN sums ON sums.label IS NOT DISTINCT FROM kept.label"""
+
+
 # The others have no SQL form: learned models, hashes DuckDB lacks, tree building,
 # iterated scheduling. They are tested against brute force in tests/llm.
 ORACLES: dict[str, str] = {
     "op3_secret_scan": _secret_sql(),
     "op5_license_scan": _license_sql(),
     "op9_minhash_near_dedup": _near_sql(),
+    "op12_merkle_manifest": _merkle_sql(),
+    "op13_vector_compression": _vector_sql(),
 }
