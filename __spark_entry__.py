@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvane.operators import (
+    bitmaps,
     components,
     cooccur,
     graphstats,
@@ -20,8 +21,9 @@ from corvane.operators import (
     retrieval,
     words,
 )
+from corvane.functions.measures import log_sum_exp
 from corvane.plans.scratch import materialize, scratch_path
-from corvane.sources import sinks, tables, text
+from corvane.sources import ranges, sinks, tables, text
 from corvane.sources.tables import (
     key_graph,
     line_fetcher,
@@ -61,6 +63,8 @@ FROM_DAY, TO_DAY = date(2024, 1, 10), date(2024, 1, 20)
 EVENT_KEYWORDS = "(?i)error|signup"
 SOURCES = [6, 15]
 ITERATIONS = 5
+CONVERGED = 40
+LOG_SCALE = 30.0
 TOP = 10
 
 
@@ -103,11 +107,56 @@ def _index_rows(spark: SparkSession, d: str) -> DataFrame:
     return inverted.posting_rows(_index(spark, d))
 
 
-def _stored_index(spark: SparkSession, d: str) -> DataFrame:
-    """The index written in term order and read back."""
-    path = scratch_path(spark, "index")
-    sinks.write_index(_index(spark, d), path)
-    return sinks.read_index(spark, path)
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _index_path(spark: SparkSession, d: str) -> str:
+    """The stored index of the lines: built by the first query of an application that asks
+    for it, looked up in by all while its folder stands."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _STORED or not sinks.index_stands(spark, _STORED[key]):
+        path = scratch_path(spark, "index")
+        sinks.write_index(_index(spark, d), path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def _collection(spark: SparkSession, d: str) -> str:
+    """The lines in order as a text collection of several files."""
+    ordered = lines(spark, d).repartitionByRange(8, "docno").sortWithinPartitions("docno")
+    return _text_file(ordered.select("text"))
+
+
+def _lookup_by_offset(spark: SparkSession, d: str) -> DataFrame:
+    """Postings of a written collection, lines fetched by their byte offsets."""
+    path = _collection(spark, d)
+    index = inverted.build_inverted_index(text.read_lines(spark, path), 1 << 22)
+    return retrieval.lookup_postings(index, ranges.line_reader(spark, path), LOOKUP).drop("docno")
+
+
+def _prices(spark: SparkSession, d: str) -> DataFrame:
+    """(k, v): prices of the lines of each supplier, as doubles."""
+    return tables.table(spark, d, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("k"), F.col("l_extendedprice").cast("double").alias("v"))
+
+
+def _log_prices(spark: SparkSession, d: str) -> DataFrame:
+    """Per part the log of a sum whose terms are too small for doubles."""
+    items = tables.table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("k"), (-F.col("l_extendedprice").cast("double") / LOG_SCALE).alias("log"))
+    return _rounded(log_sum_exp(items, ["k"], "log", "log_sum"), "log_sum")
+
+
+def _log_messages(spark: SparkSession, d: str) -> DataFrame:
+    logs_of = pagerank.log_scores(_personalized(spark, d, SOURCES))
+    return _rounded(pagerank.log_messages(*purchase_flow(spark, d), logs_of), "log_score")
+
+
+def _repeated_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Parts and suppliers of the order lines as a node list that names ids several times."""
+    listed = tables.table(spark, d, "lineitem").select(F.explode(F.array(
+        F.col("l_partkey") * 3, F.col("l_suppkey") * 3 + 2)).alias("id"))
+    return graphstats.repeated_nodes(listed)
 
 
 def _text_file(df: DataFrame, compression: str = "none") -> str:
@@ -227,6 +276,11 @@ def _library_queries() -> dict[str, Query]:
         "group_median": lambda s, d: groupstats.group_median(observations(s, d, "l_orderkey")),
         "group_median_compat": lambda s, d: groupstats.group_median_compat(
             observations(s, d, "l_orderkey")),
+        "group_median_real": lambda s, d: _rounded(
+            groupstats.group_median_real(_prices(s, d)), "median"),
+        "group_median_real_compat": lambda s, d: _rounded(
+            groupstats.group_median_real_compat(_prices(s, d)), "median"),
+        "log_sum_exp": _log_prices,
         "group_max": lambda s, d: groupstats.group_max(observations(s, d, "l_partkey")),
         "group_max_from_text": lambda s, d: groupstats.group_max(
             text.read_observations(s, _text_file(observations(s, d, "l_partkey")))),
@@ -245,14 +299,22 @@ def _library_queries() -> dict[str, Query]:
         "tf_histogram": lambda s, d: inverted.tf_histogram(_index(s, d)),
         "tf_histogram_of_terms": lambda s, d: inverted.tf_histogram(_index(s, d), HISTOGRAM),
         "lookup_postings": lambda s, d: retrieval.lookup_postings(
-            _stored_index(s, d), line_fetcher(s, d), LOOKUP),
+            sinks.find_terms(s, _index_path(s, d), LOOKUP), line_fetcher(s, d), LOOKUP),
+        "lookup_postings_by_offset": _lookup_by_offset,
+        "sorted_postings": lambda s, d: inverted.sorted_runs(lines(s, d), SHARD).select(
+            "term", F.inline("postings")),
         "document_set": lambda s, d: retrieval.document_set(_index(s, d), WORDS[1]),
         "absent_terms": lambda s, d: retrieval.absent_terms(_index(s, d), ASKED),
         "boolean_retrieval": lambda s, d: retrieval.boolean_retrieval(
             _index(s, d), line_fetcher(s, d), POSTFIX[2]),
         "boolean_retrieval_batch": _batch,
         "boolean_retrieval_stored": lambda s, d: retrieval.boolean_retrieval_batch(
-            _stored_index(s, d), line_fetcher(s, d), POSTFIX),
+            sinks.find_terms(s, _index_path(s, d), [t for q in POSTFIX.values() for t in retrieval.query_terms(q)]),
+            line_fetcher(s, d), POSTFIX),
+        "stored_index_terms": lambda s, d: sinks.read_index(s, _index_path(s, d)).groupBy("term", "df").agg(
+            F.count(F.lit(1)).alias("shards")),
+        "boolean_retrieval_bitmaps": lambda s, d: bitmaps.boolean_retrieval_bitmaps(
+            bitmaps.build_bitmap_index(lines(s, d)), line_fetcher(s, d), POSTFIX),
         # Logs.
         "hourly_counts": lambda s, d: logs.hourly_counts_between(log(s, d), FROM_DAY, TO_DAY),
         "hourly_counts_matching": lambda s, d: logs.hourly_counts_between(
@@ -271,6 +333,7 @@ def _library_queries() -> dict[str, Query]:
             *_flow_from_adjacency(s, d)),
         "graph_stats_from_records": lambda s, d: graphstats.graph_stats(*_flow_from_records(s, d)),
         "message_stats": lambda s, d: graphstats.message_stats(*purchase_flow(s, d)),
+        "repeated_nodes": _repeated_nodes,
         "edge_touched_nodes": lambda s, d: graphstats.edge_touched_nodes(purchase_flow(s, d)[1]),
         "two_hop_neighbors": lambda s, d: _joined(
             links.two_hop_neighbors(part_links(s, d), _asked(s, d)), "nbrs"),
@@ -299,6 +362,9 @@ def _library_queries() -> dict[str, Query]:
         "top_report": lambda s, d: ranking.top_report(
             ranking.top_n_per_source(_personalized(s, d, SOURCES), TOP)),
         "pagerank": lambda s, d: _rounded(_pagerank(s, d), "score"),
+        "pagerank_converged": lambda s, d: _rounded(
+            pagerank.converged_pagerank(*purchase_flow(s, d), tol=1e-11), "score"),
+        "log_messages": _log_messages,
         "rank_all": lambda s, d: _rounded(ranking.rank_all(_pagerank(s, d)), "score"),
         "dump_ranks": lambda s, d: pagerank.dump_ranks(
             _personalized(s, d, SOURCES), purchase_flow(s, d)[1]),
@@ -362,6 +428,8 @@ def _obs(key: str) -> str:
 mult AS (SELECT k, v, count(*) AS n FROM obs GROUP BY k, v)"""
 
 
+_PRICES = "obs AS (SELECT l_suppkey::VARCHAR AS k, l_extendedprice::DOUBLE AS v FROM lineitem)"
+
 _RUNS = """,
 runs AS (
   SELECT k, v, n, lag(v) OVER (PARTITION BY k ORDER BY v) AS prev,
@@ -559,6 +627,16 @@ SELECT k, trunc(median(v))::BIGINT AS median FROM obs GROUP BY k""",
         "group_median_compat": f"""WITH {_obs('l_orderkey')}{_RUNS}
 SELECT k, (CASE WHEN total % 2 = 1 OR prev IS NULL OR 2 * upto < 2 * mid + n THEN v
                 ELSE trunc((prev + v) / 2.0) END)::BIGINT AS median FROM mids""",
+        "group_median_real": f"""WITH {_PRICES}
+SELECT k, round(median(v), 6) AS median FROM obs GROUP BY k""",
+        "group_median_real_compat": f"""WITH {_PRICES},
+mult AS (SELECT k, v, count(*) AS n FROM obs GROUP BY k, v){_RUNS}
+SELECT k, round(CASE WHEN total % 2 = 1 OR prev IS NULL OR 2 * upto < 2 * mid + n THEN v
+                     ELSE (prev + v) / 2 END, 6) AS median FROM mids""",
+        "log_sum_exp": f"""WITH logs AS (
+  SELECT l_partkey AS k, -l_extendedprice::DOUBLE / {LOG_SCALE} AS v FROM lineitem),
+tops AS (SELECT k, max(v) AS top FROM logs GROUP BY k)
+SELECT k, round(top + ln(sum(exp(v - top))), 6) AS log_sum FROM logs JOIN tops USING (k) GROUP BY k, top""",
         "group_max": part_max,
         "group_max_from_text": part_max,
         "group_max_from_tsv": part_max,
@@ -575,6 +653,11 @@ SELECT term, tf, count(*) AS n FROM tf WHERE term IN ({_in_list(HISTOGRAM)}) GRO
         "lookup_postings": f"""WITH {_POSTINGS}
 SELECT term, df, docno, tf, text FROM idx JOIN lines USING (docno)
 WHERE term IN ({_in_list(LOOKUP)})""",
+        "lookup_postings_by_offset": f"""WITH {_POSTINGS}
+SELECT term, df, tf, text FROM idx JOIN lines USING (docno) WHERE term IN ({_in_list(LOOKUP)})""",
+        "sorted_postings": f"WITH {_POSTINGS} SELECT term, docno, tf FROM idx",
+        "stored_index_terms": f"""WITH {_POSTINGS}
+SELECT term, df, count(DISTINCT shard) AS shards FROM idx GROUP BY term, df""",
         "document_set": f"""WITH {_POSTINGS} SELECT docno FROM tf WHERE term = '{WORDS[1]}'""",
         "absent_terms": f"""WITH {_INDEX_TOKENS}
 SELECT term FROM unnest([{_in_list(ASKED)}]) AS asked(term)
@@ -582,6 +665,7 @@ WHERE term NOT IN (SELECT term FROM tok)""",
         "boolean_retrieval": f"""WITH {_POSTINGS}
 SELECT docno, text FROM lines WHERE docno IN (SELECT * FROM {_postfix_sql(POSTFIX[2])})""",
         "boolean_retrieval_batch": found,
+        "boolean_retrieval_bitmaps": found,
         "boolean_retrieval_stored": found,
         "hourly_counts": _hours(""),
         "hourly_counts_matching": _hours(_MATCH),
@@ -596,6 +680,9 @@ FROM ({_hours("", "strftime(ts, '%-m/%d')")})""",
         "message_stats": f"""WITH {_FLOW}
 SELECT count(*) AS messages_sent, count(DISTINCT dst) AS distinct_targets FROM edges
 WHERE src IN (SELECT id FROM nodes)""",
+        "repeated_nodes": """SELECT id, count(*) AS listed FROM (
+  SELECT l_partkey * 3 AS id FROM lineitem UNION ALL SELECT l_suppkey * 3 + 2 FROM lineitem)
+GROUP BY id HAVING count(*) > 1""",
         "edge_touched_nodes": f"""WITH {_FLOW}
 SELECT src AS id FROM edges UNION SELECT dst FROM edges""",
         "two_hop_neighbors": f"WITH {_PART_LINKS} {_two_hop_sql('pairs', True)}",
@@ -625,6 +712,9 @@ SELECT source, rank::INT AS rank, id, round(score, 6) AS score FROM ({top})""",
 SELECT source, rank::INT AS rank, printf('%.5f %d', score, id) AS line FROM ({top})
 UNION ALL SELECT source, 0, 'Source: ' || source FROM sources""",
         "pagerank": f"{total} SELECT id, round(score, 6) AS score FROM ranks",
+        "pagerank_converged": f"{_pagerank_sql(CONVERGED)} SELECT id, round(score, 6) AS score FROM ranks",
+        "log_messages": f"""{further}
+SELECT source, id, round(ln((1 - {pagerank.ALPHA}) * m), 6) AS log_score FROM m{ITERATIONS} WHERE m > 0""",
         "rank_all": f"{total} SELECT id, round(score, 6) AS score FROM ranks ORDER BY score DESC, id",
         "dump_ranks": f"""{ranks}, lists AS (
   SELECT src, dst // 1000000 AS block, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS nbrs

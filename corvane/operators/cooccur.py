@@ -58,8 +58,11 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int, task_ro
     kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"],
                      task_rows=task_rows)
     rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"]
-    owned = _owned(kept.groupBy("docno").agg(rising.alias("terms")), line_terms)
-    entries = materialize(owned.groupBy("x").agg(F.sum(F.size("ys")).alias("n")), "owners")
+    # Stored once: the text is cut into terms and joined to their numbers a single time.
+    lists = materialize(kept.groupBy("docno").agg(rising.alias("terms")), "line_terms")
+    after = F.transform("terms", lambda x, i: F.struct(x.alias("x"), (F.size("terms") - i - 1).alias("n")))
+    entries = materialize(lists.select(F.inline(after)).groupBy("x").agg(F.sum("n").alias("n")), "owners")
+    owned = _owned(lists, line_terms)
     hot = hot_keys(entries, ["x"], task_rows=task_rows)
     # The exchange on the owner serves the count as well; only an owner whose partners
     # fill more than a task is counted in parts first.
@@ -71,14 +74,14 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int, task_ro
                    .select("x", "salt", F.explode_outer("ys").alias("y"))
                    .groupBy("x", "salt", "y").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("x", "y").agg(F.sum("n").alias("n")))
-    return _with_terms(counted.where(F.col("n") >= min_support), terms, task_rows)
+    pairs = materialize(counted.where(F.col("n") >= min_support), "pairs", replaces=[lists, entries])
+    return _with_terms(pairs, terms, task_rows)
 
 
 def _with_terms(pairs: DataFrame, terms: DataFrame, task_rows: int) -> DataFrame:
-    """Add the terms of counted pairs and their frequencies to the numbers."""
+    """Add the terms of counted pairs, stored, and their frequencies to the numbers."""
     first = terms.select(F.col("number").alias("x"), F.col("term").alias("a"), F.col("df").alias("df_a"))
     second = terms.select(F.col("number").alias("y"), F.col("term").alias("b"), F.col("df").alias("df_b"))
-    pairs = materialize(pairs, "pairs")
     per_x, per_y = (pairs.groupBy(c).agg(F.count(F.lit(1)).alias("n")) for c in ("x", "y"))
     half = skew_join(pairs, first, ["x"], per_x, by=["y"], task_rows=task_rows)
     return skew_join(half, second, ["y"], per_y, by=["x"], task_rows=task_rows)

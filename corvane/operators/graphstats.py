@@ -52,6 +52,11 @@ def edge_touched_nodes(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
+def repeated_nodes(nodes: DataFrame) -> DataFrame:
+    """(id, listed): the node ids that are listed more than once, and how often."""
+    return nodes.groupBy("id").agg(F.count(F.lit(1)).alias("listed")).where("listed > 1")
+
+
 def check_graph(nodes: DataFrame, edges: DataFrame) -> None:
     """Raise ValueError for a node listed twice or an edge from an unknown node."""
     bad = (_per_id(nodes, edges)

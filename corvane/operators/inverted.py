@@ -8,6 +8,11 @@ is the term's number of documents in the whole collection; postings ascend by do
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions.measures import block_of
@@ -97,3 +102,43 @@ def restore_docnos(compressed: DataFrame) -> DataFrame:
     lists = _with_carry(compressed, total, F.sum("own").over(in_term) - F.col("own"))
     return (lists.select("term", "shard", "carry", F.posexplode_outer("gaps").alias("pos", "g"))
             .select("term", (F.col("carry") + F.sum("g.gap").over(in_shard)).alias("docno"), "g.tf"))
+
+
+_RUNS = "term string, first long, postings array<struct<docno:bigint,tf:bigint>>"
+
+
+def _cut_runs(span: int):
+    """A function that cuts sorted (term, docno, tf) batches into runs of one term.
+
+    Lists are built from the batches' columns as they are: no row becomes an object.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            term, docno, tf = batch.column(0), batch.column(1), batch.column(2)
+            shard = np.floor_divide(docno.to_numpy(), span)
+            other = pc.not_equal(term.slice(1), term.slice(0, rows - 1)).to_numpy(zero_copy_only=False)
+            starts = np.concatenate(([0], np.flatnonzero(other | (shard[1:] != shard[:-1])) + 1))
+            offsets = np.append(starts, rows).astype(np.int32)
+            entries = pa.StructArray.from_arrays([docno, tf], names=["docno", "tf"])
+            yield pa.RecordBatch.from_arrays(
+                [term.take(pa.array(starts)), docno.take(pa.array(starts)),
+                 pa.ListArray.from_arrays(pa.array(offsets), entries)], names=["term", "first", "postings"])
+
+    return cut
+
+
+def sorted_runs(lines: DataFrame, span: int = SPAN) -> DataFrame:
+    """(term, first, postings): posting lists from one sort on term and docno.
+
+    Postings are range-partitioned and sorted by (term, docno); lists are cut from the
+    sorted stream where the term changes, at a multiple of ``span`` docnos, and at the
+    border of a batch or task, so no list is collected and a term found everywhere is
+    spread over tasks like any other. ``first`` is a run's least docno: runs in order of
+    (term, first) are the index, and one exchange makes it.
+    """
+    entries = term_frequency(lines).select("term", "docno", F.col("tf").cast("bigint").alias("tf"))
+    ordered = entries.repartitionByRange("term", "docno").sortWithinPartitions("term", "docno")
+    return ordered.mapInArrow(_cut_runs(span), _RUNS)

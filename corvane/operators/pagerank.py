@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corvane.functions.measures import block_of
+from corvane.functions.measures import block_of, log_sum_exp
 from corvane.operators.graphstats import check_graph
-from corvane.plans.loop import iterate
+from corvane.plans.loop import check_state, iterate, last_state
 from corvane.plans.scratch import materialize, release
 from corvane.plans.skew import TASK_ROWS, copy_rows, hot_keys, skew_join, spread_rows
 
@@ -69,7 +69,7 @@ def _transition(nodes: DataFrame, edges: DataFrame, alpha: float,
 
 
 def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: int, end: int, base: str | None,
-               task_rows: int, tol: float | None = None) -> DataFrame:
+               task_rows: int, tol: float | None = None, manifest: dict[str, str] | None = None) -> DataFrame:
     """(id, source, score): the state after the iterations, nodes of score 0 left out.
 
     The shares are laid out by their source once; an iteration moves the scores to them.
@@ -89,7 +89,7 @@ def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: i
                 .agg(F.sum(F.col("score") * F.col("w")).alias("score")))
 
     if tol is None:
-        reached = iterate(state, step, start, end, base=base)
+        reached = iterate(state, step, start, end, base=base, manifest=manifest)
         release(laid_out)
         return reached
     for _ in range(start, end):
@@ -107,30 +107,43 @@ def _propagate(shares: DataFrame, fan_out: DataFrame, state: DataFrame, start: i
 
 def personalized_pagerank(nodes: DataFrame, edges: DataFrame, sources: list[int],
                           iterations: int, alpha: float = ALPHA, *, base: str | None = None,
-                          start: int = 0, task_rows: int = TASK_ROWS) -> DataFrame:
+                          start: int | None = 0, task_rows: int = TASK_ROWS) -> DataFrame:
     """(source, id, score) of every node for every source.
 
-    All sources advance together. With ``base`` the state of each iteration is
-    kept as ``base/iterNNNN`` and ``start`` resumes from a stored one, which must be of
-    the same sources.
+    All sources advance together. With ``base`` the state of each iteration is kept as
+    ``base/iterNNNN`` and ``start`` resumes from a stored one. A state counts once its
+    manifest stands, which is written last; a run resumes only where the manifest names
+    the same sources, alpha and graph. ``start=None`` takes the last whole state, or begins
+    anew where there is none.
     """
     records = build_rank_records(nodes, sources)
+    if base is None and start != 0:
+        raise ValueError("a run can only be resumed from stored states")
+    manifest = None if base is None else {
+        "sources": ",".join(map(str, sorted(set(sources)))), "alpha": repr(float(alpha)),
+        **_fingerprint(nodes, edges)}
+    if start is None:
+        start = last_state(nodes.sparkSession, base, iterations)
     if start:
-        if base is None:
-            raise ValueError("a run can only be resumed from stored states")
-        stored = nodes.sparkSession.read.parquet(f"{base}/iter{start:04d}")
-        # A source's scores sum to 1, so each has rows; there are as many as were asked for.
-        held = {r.source for r in stored.select("source").distinct().collect()}
-        if held != set(sources):
-            raise ValueError(f"the stored state is of sources {sorted(held)}")
+        check_state(nodes.sparkSession, base, start, manifest)
     shares, fan_out = _transition(nodes, edges, alpha, task_rows)
     reached = _propagate(shares, fan_out, records.where(F.col("score") > 0), start, iterations, base,
-                         task_rows)
+                         task_rows, manifest=manifest)
     return (records.select("source", "id")
             .join(reached, ["id", "source"], "left")
             .select("source", "id", F.coalesce("score", F.lit(0.0)).alias("score")))
 
 
+def _fingerprint(nodes: DataFrame, edges: DataFrame) -> dict[str, str]:
+    """Counts and order-free hashes of a graph's nodes and edges."""
+    def summed(rows: DataFrame, *columns: str) -> str:
+        mixed = F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
+        count, total = rows.agg(F.count(F.lit(1)), mixed).first()
+        return f"{count}:{total or 0}"
+
+    return {"nodes": summed(nodes, "id"), "edges": summed(edges, "src", "dst")}
+
+
 def missing_mass(nodes: DataFrame, edges: DataFrame, ranks: DataFrame, *,
                  task_rows: int = TASK_ROWS) -> DataFrame:
     """(source, missing): the score one step would lose at nodes without out-links
@@ -180,6 +193,70 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int, alpha: float =
             .select("id", (F.coalesce("score", F.lit(0.0)) + held / F.lit(count)).alias("score")))
 
 
+def converged_pagerank(nodes: DataFrame, edges: DataFrame, tol: float = 1e-9, alpha: float = ALPHA, *,
+                       max_rounds: int = 1000, task_rows: int = TASK_ROWS,
+                       rounds: list[int] | None = None) -> DataFrame:
+    """(id, score): PageRank as it is after any number of iterations, to ``tol`` in total.
+
+    Residuals are pushed: a node adds its residual to its score and passes it on along its
+    edges, but only while it exceeds its share of the tolerance. Scores that have settled
+    send nothing, so messages fall from round to round, and the residuals left at the end
+    bound the error. What is lost at nodes without out-links and on edges to unknown nodes
+    goes evenly to all nodes, as the start does, so it only scales the scores: they are
+    brought to a sum of 1 at the end. ``rounds`` is filled with the senders of each round.
+    Raises ValueError where the bound isn't reached in ``max_rounds``.
+    """
+    count = nodes.count()
+    if not count:
+        raise ValueError("the graph has no nodes")
+    shares, fan_out = _transition(nodes, edges, alpha, task_rows)
+    hot, key = hot_keys(fan_out, ["src"], task_rows=task_rows), ["src"]
+    sent = shares.where("dst IS NOT NULL")
+    if hot is not None:
+        sent, key = spread_rows(sent, ["src"], ["dst"], hot), ["src", "salt"]
+    laid_out = materialize(sent, "shares", replaces=[shares], keyed_by=key)
+    # Residuals sum to 1 at first and shrink by alpha at least; scores sum to 1 / alpha at most.
+    bound = F.lit(tol * alpha / count)
+    active = F.col("residual") > bound
+    state = materialize(nodes.select("id", F.lit(0.0).alias("score"), F.lit(1.0 / count).alias("residual")), "push")
+    for _ in range(max_rounds):
+        senders = state.where(active).count()
+        if not senders:
+            break
+        if rounds is not None:
+            rounds.append(senders)
+        pushed = state.where(active).select(F.col("id").alias("src"), "residual")
+        if hot is not None:
+            pushed = copy_rows(pushed, ["src"], hot)
+        messages = laid_out.join(pushed, key).select(
+            F.col("dst").alias("id"), F.lit(0.0).alias("score"), (F.col("residual") * F.col("w")).alias("residual"))
+        held = state.select("id", F.when(active, F.col("score") + F.col("residual")).otherwise(F.col("score")).alias("score"),
+                            F.when(active, F.lit(0.0)).otherwise(F.col("residual")).alias("residual"))
+        after = held.unionByName(messages).groupBy("id").agg(F.sum("score").alias("score"), F.sum("residual").alias("residual"))
+        state = materialize(after, "push", replaces=[state])
+    else:
+        raise ValueError(f"residuals above the bound after {max_rounds} rounds")
+    release(laid_out)
+    total = state.agg(F.sum("score")).first()[0]
+    return state.select("id", (F.col("score") / F.lit(total)).alias("score"))
+
+
+def log_messages(nodes: DataFrame, edges: DataFrame, logs: DataFrame, alpha: float = ALPHA, *,
+                 task_rows: int = TASK_ROWS) -> DataFrame:
+    """(source, id, log_score): one propagation step on logs of scores (source, id, log_score).
+
+    What reaches a node along edges, as :func:`personalized_pagerank` sends it before the
+    jump; a node nothing reaches has no row. Scores too small for a double keep their logs.
+    """
+    shares, fan_out = _transition(nodes, edges, alpha, task_rows)
+    sent = shares.where("dst IS NOT NULL").select(F.col("src").alias("from"), F.col("dst").alias("id"),
+                                                  F.ln("w").alias("log_w"))
+    weights = fan_out.withColumnRenamed("src", "from")
+    moved = skew_join(sent, logs.withColumnRenamed("id", "from"), ["from"], weights, by=["id"], task_rows=task_rows)
+    return log_sum_exp(moved.select("source", "id", (F.col("log_score") + F.col("log_w")).alias("log")),
+                       ["source", "id"], "log", "log_score")
+
+
 def dump_ranks(ranks: DataFrame, edges: DataFrame, span: int = 1_000_000) -> DataFrame:
     """(value): text lines ``id, source, score, block, neighbours``, tab-separated.
 
