@@ -12,7 +12,9 @@ SF_DIR = "/root/testdata/sf0.001"
 CHECKED = ["word_count_alpha", "term_ids_by_frequency", "pmi", "group_median_compat",
            "build_inverted_index", "restore_docnos", "boolean_retrieval_batch",
            "hourly_counts_text_matching", "two_hop_neighbors", "clustering_compat",
-           "lookup_postings", "graph_stats_from_adjacency", "clustering_from_adjacency",
+           "lookup_postings", "lookup_postings_by_offset", "boolean_retrieval_bitmaps", "sorted_postings",
+           "stored_index_terms", "group_median_real", "group_median_real_compat", "log_sum_exp", "log_messages",
+           "pagerank_converged", "repeated_nodes", "graph_stats_from_adjacency", "clustering_from_adjacency",
            "group_max_from_tsv", "message_stats", "personalized_pagerank_resumed", "dump_ranks",
            "personalized_pagerank_multi", "pagerank", "weakly_connected_components"]
 

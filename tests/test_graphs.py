@@ -7,8 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from corvane.functions.measures import log_sum_exp
 from corvane.operators import components, graphstats, links, pagerank, ranking
-from corvane.plans import scratch
+from corvane.plans import loop, scratch
 
 DIRECTED = ([1, 2, 3, 4], [(1, 2), (1, 3), (2, 3), (2, 4), (3, 1), (3, 9)])
 UNDIRECTED = {1: [2, 3], 2: [1, 3], 3: [1, 2, 4], 4: [3]}
@@ -137,6 +138,85 @@ def test_resume(graph, tmp_path):
         pagerank.personalized_pagerank(*graph, [1, 2], 10, start=4)
 
 
+def test_half_written_states_do_not_count(graph, tmp_path):
+    """A run takes up the last state whose manifest stands."""
+    base = str(tmp_path / "run")
+    pagerank.personalized_pagerank(*graph, [1, 2], 6, base=base).count()
+    straight = rows(pagerank.personalized_pagerank(*graph, [1, 2], 8))
+    # As if the run had died while it wrote state 6, and before the manifest of state 5.
+    for part in (tmp_path / "run" / "iter0006").glob("*"):
+        part.unlink()
+    for i in (5, 6):
+        for part in (tmp_path / "run" / f"manifest{i:04d}").glob("*"):
+            part.unlink()
+    (tmp_path / "run" / "manifest0006").rmdir()
+    spark = graph[0].sparkSession
+    assert loop.last_state(spark, base, 8) == 4
+    with pytest.raises(ValueError, match="no whole state"):
+        pagerank.personalized_pagerank(*graph, [1, 2], 8, base=base, start=6)
+    assert rows(pagerank.personalized_pagerank(*graph, [1, 2], 8, base=base, start=None)) == straight
+    assert loop.last_state(spark, base, 8) == 8
+    assert loop.last_state(spark, str(tmp_path / "none"), 8) == 0
+
+
+def test_states_of_other_runs_are_refused(graph, tmp_path):
+    base = str(tmp_path / "run")
+    nodes, edges = graph
+    pagerank.personalized_pagerank(nodes, edges, [1, 2], 3, base=base).count()
+    with pytest.raises(ValueError, match="alpha"):
+        pagerank.personalized_pagerank(nodes, edges, [1, 2], 5, 0.2, base=base, start=3)
+    with pytest.raises(ValueError, match="edges"):
+        pagerank.personalized_pagerank(nodes, edges.union(edges.limit(1)), [1, 2], 5, base=base, start=3)
+    with pytest.raises(ValueError, match="nodes"):
+        more = nodes.union(nodes.sparkSession.range(99, 100))
+        pagerank.personalized_pagerank(more, edges, [1, 2], 5, base=base, start=3)
+
+
+def test_converged_pagerank(random_graph):
+    ids, edges, nodes, links_ = random_graph
+    senders = []
+    got = dict(rows(pagerank.converged_pagerank(nodes, links_, 1e-10, rounds=senders)))
+    assert got == pytest.approx(ranks_by_hand(ids, edges, None, 200, 0.15), abs=1e-6)
+    assert sum(got.values()) == pytest.approx(1.0, abs=1e-4)
+    assert senders[0] == len(ids) and senders[-1] < senders[0]
+    rough = []
+    pagerank.converged_pagerank(nodes, links_, 1e-3, rounds=rough)
+    assert sum(rough) < sum(senders)
+    split = dict(rows(pagerank.converged_pagerank(nodes, links_, 1e-10, task_rows=3)))
+    assert split == pytest.approx(got, abs=1e-6)
+    with pytest.raises(ValueError, match="rounds"):
+        pagerank.converged_pagerank(nodes, links_, 1e-10, max_rounds=2)
+
+
+def test_log_messages_of_tiny_scores(spark, graph):
+    """Logs far below those of any double; shifting all shifts the sums."""
+    nodes, edges = graph
+    ranks = pagerank.log_scores(pagerank.personalized_pagerank(nodes, edges, [1], 3))
+    plain = {(s, i): x for i, s, x in ((r.id, r.source, r.log_score)
+                                       for r in pagerank.log_messages(nodes, edges, ranks).collect())}
+    tiny = ranks.withColumn("log_score", F.col("log_score") - 5000.0)
+    shifted = {(r.source, r.id): r.log_score for r in pagerank.log_messages(nodes, edges, tiny).collect()}
+    assert plain and shifted.keys() == plain.keys()
+    for key, x in plain.items():
+        assert shifted[key] == pytest.approx(x - 5000.0, abs=1e-9)
+
+
+@pytest.mark.parametrize("logs,want", [
+    ([-1000.0, -1000.0], -1000.0 + math.log(2)), ([0.0], 0.0), ([-1000.0, 5.0], 5.0),
+    ([1000.0] * 4, 1000.0 + math.log(4)), ([255.9, 256.1], 256.1 + math.log1p(math.exp(-0.2))),
+    ([-0.5, None, float("-inf")], -0.5), ([-1e6, -1e6 - 1], -1e6 + math.log1p(math.exp(-1)))])
+def test_log_sum_exp(spark, logs, want):
+    frame = spark.createDataFrame([("k", x) for x in logs] + [("none", None), ("zero", float("-inf"))],
+                                  "k STRING, l DOUBLE")
+    found = log_sum_exp(frame, ["k"], "l", "s").collect()
+    assert [r.k for r in found] == ["k"] and found[0].s == pytest.approx(want, rel=1e-12)
+
+
+def test_repeated_nodes(spark):
+    nodes = spark.createDataFrame([(1,), (2,), (2,), (3,), (3,), (3,)], "id BIGINT")
+    assert rows(graphstats.repeated_nodes(nodes)) == [(2, 2), (3, 3)]
+
+
 def test_no_iterations(graph):
     assert rows(pagerank.pagerank(*graph, 0)) == [(i, 0.25) for i in (1, 2, 3, 4)]
 

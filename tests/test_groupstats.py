@@ -70,3 +70,39 @@ def test_wide_values(spark):
     assert {k: compat[k] for k in odd} == odd
     counts = {(k, v, n) for k, vs in groups.items() for v, n in Counter(vs).items()}
     assert set(rows(groupstats.value_multiplicity(obs))) == counts
+
+
+def compat(values):
+    """The original rule: the middle rank against half of the middle value's run."""
+    values = sorted(values)
+    mid, counts, upto, prev = len(values) // 2 + 1, Counter(values), 0, None
+    for value in sorted(counts):
+        upto += counts[value]
+        if upto >= mid:
+            if len(values) % 2 or prev is None or 2 * upto < 2 * mid + counts[value]:
+                return value
+            return (prev + value) / 2
+        prev = value
+
+
+@pytest.mark.parametrize("task_rows", [10**6, 500])
+def test_real_medians(spark, task_rows):
+    """Small keys, and large ones whose middle is bracketed: spread, tied, of two values."""
+    rnd = random.Random(11)
+    groups = {"few": [0.1, -2.5, 1e300, 3.25], "one": [-0.0], "two": [1e-320, 2.5],
+              "spread": [rnd.gauss(0, 1e6) for _ in range(9001)], "even": [rnd.random() for _ in range(8000)],
+              "tied": [float(rnd.randint(0, 3)) for _ in range(8000)], "halves": [1.5] * 4000 + [2.5] * 4000,
+              "rare": [1.0] * 3999 + [2.0] + [3.0] * 4000, "same": [7.0] * 5000}
+    obs = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("few", None), ("null", None)],
+                                "k STRING, v DOUBLE").repartition(5)
+    got = dict(rows(groupstats.group_median_real(obs, task_rows=task_rows)))
+    assert got == {k: pytest.approx(statistics.median(v), abs=1e-6) for k, v in groups.items()}
+    got = dict(rows(groupstats.group_median_real_compat(obs, task_rows=task_rows)))
+    assert got == {k: pytest.approx(compat(v), abs=1e-6) for k, v in groups.items()}
+
+
+def test_real_median_of_other_types(spark):
+    obs = spark.createDataFrame([("a", 1), ("a", 2)], "k STRING, v INT")
+    assert rows(groupstats.group_median_real(obs)) == [("a", 1.5)]
+    assert rows(groupstats.group_median_real(obs.withColumn("v", obs.v.cast("decimal(9,2)")))) == [("a", 1.5)]
+    assert rows(groupstats.group_median_real(obs.where("false"))) == []
