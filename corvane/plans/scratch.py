@@ -70,3 +70,12 @@ def release(*tables: DataFrame) -> None:
         if name is not None:
             df.sparkSession.sql(f"DROP TABLE IF EXISTS {name} PURGE")
             df.scratch_table = None
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let go of shuffle files no result reads any more.
+
+    Spark deletes a shuffle's files once the driver's JVM has collected its plan, which may
+    be long after its rows were stored. Steps that shuffle much ask for it in between.
+    """
+    spark.sparkContext._jvm.System.gc()
