@@ -15,20 +15,18 @@ strings are found for all positions at once by walking dense child tables.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 UNKNOWN = "und"
 ORDER = 4
 SAMPLE_DOCS = 400
-MAX_GRAMS = 150_000
+MAX_GRAMS = 40_000
 PIECE = 1 << 19
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def sample_by_language(train: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
@@ -89,19 +87,22 @@ def learn(train: DataFrame, order: int = ORDER, docs_per_language: int = SAMPLE_
           max_grams: int = MAX_GRAMS) -> Model:
     """Count the strings of the sample on the cluster and freeze the trees.
 
-    Strings seen fewer than m times in a language are left out; m is the least number
-    that keeps at most ``max_grams`` strings, which bounds what the driver holds.
+    Strings of a language seen fewer than m times are left out; m is the least number
+    above 1 that keeps at most ``max_grams`` strings of that language. All single bytes
+    stay, so every language of the sample is in the model, however small it is. The driver
+    holds at most ``max_grams`` strings and 256 bytes for each language of the sample.
     A string's prefixes and suffixes are at least as frequent, so they stay too.
     """
     counts = (sample_by_language(train, docs_per_language)
               .mapInArrow(_grams(order), "lang string, size int, gram long, n long")
               .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
-    # The sample bounds the counts; the most frequent strings are taken.
-    top = (counts.where("n > 1 OR size = 1").orderBy(F.desc("n"), "size", "lang", "gram")
-           .limit(max_grams + 1).toPandas())
-    if len(top) > max_grams:
-        least = top["n"].min()
-        top = top[(top["n"] > least) | (top["size"] == 1)]
+    # How many strings of the language are seen at least as often, those tied included.
+    often = counts.where("n > 1").groupBy("lang", "n").agg(F.count(F.lit(1)).alias("strings"))
+    reached = F.sum("strings").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    least = (often.withColumn("reached", reached).where(F.col("reached") <= max_grams)
+             .groupBy("lang").agg(F.min("n").alias("least")))
+    top = (counts.join(F.broadcast(least), "lang", "left")  # one row for each language
+           .where("size = 1 OR n >= least").select("lang", "size", "gram", "n").toPandas())
     return freeze(top, order)
 
 
@@ -226,8 +227,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with lang_pred and score.
 
     ``score`` is the posterior of the winner with equal priors, 0 for ``und``: a null
-    text or one without a letter. Ties go to the language first in the alphabet. A
-    model without languages answers ``und`` everywhere.
+    text or one without a letter by ``str.isalpha`` (raised digits and fractions are none).
+    Ties go to the language first in the alphabet. A model without languages answers
+    ``und`` everywhere.
     """
     rest = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     frame = docs.select(*rest, F.col(text).alias("_text"))
@@ -249,8 +251,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 bits = code_lengths(model, data, ends)
                 best = bits.argmin(axis=1)
                 lead = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000.0))
-                letters = np.array([t is not None and LETTER.search(t.as_py()) is not None
-                                    for t in texts])
+                letters = np.array([any(map(str.isalpha, t.as_py())) for t in texts], bool)
                 names[letters] = np.array(model.languages, object)[best[letters]]
                 scores[letters] = 1.0 / lead.sum(axis=1)[letters]
             yield pa.RecordBatch.from_arrays(

@@ -88,3 +88,30 @@ def test_held_out_accuracy(spark):
     model = ppm.learn(docs.where(learnt()).select("lang", "text"))
     found = ppm.predict(docs.where(held_out()).select("doc_id", "lang", "text"), model).toPandas()
     assert (found.lang == found.lang_pred).mean() > 0.97
+
+
+def test_trees_are_bounded_for_each_language(spark):
+    """A large language takes nothing from a small one; bytes of every language stay."""
+    many = [("en", f"{i} the cat sat on the mat and thought of {i * 7919} things") for i in range(200)]
+    few = [("fr", "le chat, le chien, le chat"), ("de", "ab")]
+    frame = spark.createDataFrame(many + few, "lang string, text string")
+    counts = counted({"en": [t for _, t in many], "fr": [few[0][1]], "de": [few[1][1]]}, 4)
+    asked = []
+    for limit in (1, 40, 100_000):
+        model = ppm.learn(frame, docs_per_language=100_000, max_grams=limit)
+        want = []
+        for _, own in counts.groupby("lang"):
+            least = [m for m in set(own.n) if m > 1 and (own.n >= m).sum() <= limit]
+            want.append(own[(own["size"] == 1) | (own.n >= min(least, default=math.inf))])
+        whole = ppm.freeze(pd.concat(want), 4)
+        assert model.languages == ["de", "en", "fr"]
+        assert np.array_equal(model.cost, whole.cost) and np.array_equal(model.open_cost, whole.open_cost)
+        asked.append(len(model.cost))
+    assert asked == sorted(set(asked))
+
+
+def test_letters_by_isalpha(spark):
+    model = ppm.freeze(counted(TEXTS, 3), 3)
+    docs = spark.createDataFrame(list(enumerate(["\u00b2", "\u00bd \u2460", "12 \u00b2 a", "\u00e0"])), "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in ppm.predict(docs, model).collect()}
+    assert got[0] == got[1] == "und" and "und" not in (got[2], got[3])
