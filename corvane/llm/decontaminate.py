@@ -3,32 +3,36 @@
 Texts become sequences of typed tokens: numbers (digits or number words) turn into
 ``#num``, units of measure into ``#unit``, names (capitalised words that don't begin a
 sentence, and all words written in capitals) into ``#name``; other words are folded to
-lower case. Windows of ``WINDOW`` tokens of this template are hashed and joined to the
-windows of the benchmark items, so a question is found again with other numbers, names
-or units. A window counts when its slots are consistent: equal values of one side must
-stand against equal values of the other, one to one, within a type.
-
-An item shorter than the window is one window as a whole. Windows with fewer than
-``LEAST_FIXED`` tokens outside slots say nothing about an item and are not indexed;
-an item that has no other window is looked up by the exact words instead.
+lower case. After a colon, quote, bracket or dash a capitalised word may begin a
+sentence or not: windows with such words stand both ways.
+
+Windows of ``WINDOW`` tokens of this template are hashed and hash-joined to the windows of
+the benchmark items, so a question is found again with other numbers, names or units. A
+window counts when its slots are consistent: equal values of one side must stand against
+equal values of the other, one to one, within a type. Beside its template every window
+is joined by its exact words, folded to lower case, so a copy is found in any letter case.
+
+An item shorter than the window is one window as a whole. Templates with fewer than
+``LEAST_FIXED`` tokens outside slots say nothing about an item; these windows are looked up
+by their exact words alone.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.llm.common import Memo, map_rows
-from corvane.plans.scratch import materialize, release
+from corvane.plans.scratch import materialize
 
 WINDOW = 13
 LEAST_FIXED = 7
-BLOCK_ROWS = 200_000  # benchmark windows that one pass over the documents holds
+CHUNK = 65_536  # windows of a text that one row holds
 
 # Words that stand for numbers and units.
 NUMBER_WORDS = frozenset(
@@ -43,162 +47,191 @@ UNITS = frozenset(
     "centimeter centimeters percent dollar dollars euro euros cent cents degree degrees "
     "mph kmh watt watts volt volts byte bytes kb mb gb tb".split())
 
-TOKEN = re.compile(r"[.!?\n]|\d[\d.,]*|[^\W\d_]+")
+TOKEN = re.compile(r"[.!?\n]|\d[\d.,]*|[^\W\d_]+|[:\"“«(\[]|(?<!\w)['‘–—-]")
 ENDS = frozenset(".!?\n")
+MARKS = frozenset(":\"“«(['‘–—-")
 WORD, NUM, UNIT, NAME = 0, 1, 2, 3
 SLOTS = {NUM: "#num", UNIT: "#unit", NAME: "#name"}
 
 
-def _kind(token: str) -> tuple[int, int, int, bool]:
-    """(hash of the token's value, kind inside a sentence, kind at its start, ends one)."""
+PLAIN, END, MARK = 0, 1, 2
+
+
+def _kind(token: str) -> tuple[int, int, int, int]:
+    """(hash of the token's value, kind inside a sentence, kind at its start, role)."""
     if token in ENDS:
-        return 0, WORD, WORD, True
+        return 0, WORD, WORD, END
+    if token in MARKS:
+        return 0, WORD, WORD, MARK
     folded = token.lower()
     value = xxhash.xxh3_64_intdigest(folded.rstrip(".,").encode("utf-8", "surrogatepass"))
     if token[0].isdigit() or folded in NUMBER_WORDS:
-        return value, NUM, NUM, token[0].isdigit() and token[-1] == "."
+        return value, NUM, NUM, END if token[0].isdigit() and token[-1] == "." else PLAIN
     if folded in UNITS:
-        return value, UNIT, UNIT, False
+        return value, UNIT, UNIT, PLAIN
     if len(token) > 1 and token.isupper():
-        return value, NAME, NAME, False
-    return value, (NAME if token[0].isupper() else WORD), WORD, False
+        return value, NAME, NAME, PLAIN
+    return value, (NAME if token[0].isupper() else WORD), WORD, PLAIN
 
 
 _SLOT_HASH = np.array([0] + [xxhash.xxh3_64_intdigest(SLOTS[k]) for k in (NUM, UNIT, NAME)], np.uint64)
 
 
 def canonical(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template hashes, value hashes, kinds) of the tokens of a text."""
+    """(value hashes, kinds, other kinds) of the tokens of a text.
+
+    The kinds take a word after a mark for the start of a sentence, the other kinds don't.
+    """
     found = [memo[t] for t in TOKEN.findall(text or "")]
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     values = np.array([f[0] for f in found], np.uint64)
-    inside = np.array([f[1] for f in found], np.int64)
-    opening = np.array([f[2] for f in found], np.int64)
-    ends = np.array([f[3] for f in found])
-    first = np.concatenate(([True], ends[:-1]))
-    kinds = np.where(first, opening, inside)
+    inside, opening, role = np.array([f[1:] for f in found], np.int64).T
+    marks = role == MARK
+    after_mark = np.concatenate(([False], marks[:-1]))[~marks]
+    values, inside, opening, ends = (x[~marks] for x in (values, inside, opening, role == END))
+    first = np.concatenate(([True], ends[:-1]))[:len(values)]
     kept = values != 0
-    values, kinds = values[kept], kinds[kept]
-    return np.where(kinds == WORD, values, _SLOT_HASH[kinds]), values, kinds
+    kinds = np.where(first | after_mark, opening, inside)[kept]
+    return values[kept], kinds, np.where(first, opening, inside)[kept]
 
 
-def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every window of ``width`` tokens."""
+def window_hashes(tokens: np.ndarray, width: int, exact: bool) -> np.ndarray:
+    """Hash of every window of ``width`` tokens; widths and exact windows have hashes of their own."""
     size = len(tokens) - width + 1
     if size <= 0:
-        return np.zeros(0, np.uint64)
-    rolled = np.full(size, np.uint64(width))
+        return np.zeros(0, np.int64)
+    rolled = np.full(size, np.uint64(2 * width + exact))
     for i in range(width):
         rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         rolled += tokens[i:i + size]
-    return rolled ^ (rolled >> np.uint64(31))
+    return (rolled ^ (rolled >> np.uint64(31))).astype(np.int64)
 
 
-def consistent(mine: np.ndarray, theirs: np.ndarray, kinds: np.ndarray) -> bool:
-    """Slot values of two equal templates stand one to one against each other."""
-    for kind in SLOTS:
-        pairs = set(zip(mine[kinds == kind].tolist(), theirs[kinds == kind].tolist()))
-        if len(pairs) != len({a for a, _ in pairs}) or len(pairs) != len({b for _, b in pairs}):
-            return False
-    return True
+def _templates(values: np.ndarray, kinds: np.ndarray, width: int) -> np.ndarray:
+    return window_hashes(np.where(kinds == WORD, values, _SLOT_HASH[kinds]), width, False)
+
+
+def _readings(values: np.ndarray, kinds: np.ndarray, others: np.ndarray, width: int) -> list[tuple]:
+    """(exact, the kinds, places of windows, their hashes): the windows of a text by their words and
+    by their templates; those of the other kinds only where they differ."""
+    every = np.arange(max(0, len(values) - width + 1))
+    found = [(True, kinds, every, window_hashes(values, width, True)),
+             (False, kinds, every, _templates(values, kinds, width))]
+    sums = np.concatenate(([0], np.cumsum(kinds != others)))
+    differ = every[sums[every + width] > sums[every]]
+    if len(differ):
+        found.append((False, others, differ, _templates(values, others, width)[differ]))
+    return found
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, least_fixed: int = LEAST_FIXED) -> DataFrame:
-    """(item_id, width, exact, h, values): the windows of the items, repeated ones once an item."""
+    """(item_id, width, exact, h, theirs): the windows of the items, repeated ones once an item."""
     memo = Memo(_kind)
 
     def rows(part: dict[str, list]) -> Iterator[tuple]:
         for item_id, text in zip(part["item_id"], part["text"]):
-            template, values, kinds = canonical(text, memo)
-            width = min(window, len(template))
+            values, *kinds = canonical(text, memo)
+            width = min(window, len(values))
             if item_id is None or not width:
                 continue
-            found = False
-            for at, h in enumerate(window_hashes(template, width).astype(np.int64).tolist()):
-                if (kinds[at:at + width] == WORD).sum() >= min(least_fixed, width):
-                    found = True
-                    yield item_id, width, False, h, values[at:at + width].astype(np.int64)
-            if not found:
-                for at, h in enumerate(window_hashes(values, width).astype(np.int64).tolist()):
-                    yield item_id, width, True, h, values[at:at + width].astype(np.int64)
-
-    schema = "item_id long, width int, exact boolean, h long, values array<long>"
+            for exact, mine, places, hashes in _readings(values, *kinds, width):
+                for at, h in zip(places.tolist(), hashes.tolist()):
+                    if exact or (mine[at:at + width] == WORD).sum() >= min(least_fixed, width):
+                        yield item_id, width, exact, h, values[at:at + width].astype(np.int64)
+
+    schema = "item_id long, width int, exact boolean, h long, theirs array<long>"
     return map_rows(items.select("item_id", "text"), schema, rows).distinct()
 
 
-def _blocks(items: DataFrame, window: int, least_fixed: int, block_rows: int) -> Iterator[list]:
-    """The benchmark's windows in blocks of ``block_rows``, whatever their number.
+_KEY = "struct<a:bigint,b:bigint>"
 
-    The whole set of windows is the stated query set; documents are matched against one
-    block at a time, so a pass holds a bounded table.
-    """
-    windows = item_windows(items, window, least_fixed)
-    block = []
-    for row in windows.toLocalIterator():
-        block.append(tuple(row))
-        if len(block) == block_rows:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def _annotated(docs: DataFrame, block: list) -> DataFrame:
-    """``docs`` with the matches of one block added to ``matches``; ``text`` is kept."""
-    shapes: dict[tuple[int, bool], dict[int, list]] = defaultdict(lambda: defaultdict(list))
-    for item_id, width, exact, h, values in block:
-        shapes[width, exact][h].append((item_id, np.array(values, np.int64)))
-    known = {shape: (np.array(sorted(found), np.int64), dict(found)) for shape, found in shapes.items()}
+
+def document_windows(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """(key, h): the hash of every window of the texts (key, text)."""
     memo = Memo(_kind)
-    body = docs.columns.index("text")
 
     def rows(part: dict[str, list]) -> Iterator[tuple]:
-        for *row, before in zip(*part.values()):
-            template, values, kinds = canonical(row[body], memo)
-            signed = values.astype(np.int64)
-            hits: dict[int, list[int]] = defaultdict(lambda: [0, 0])
-            for match in before:  # an item's windows may lie in several blocks
-                hits[match["item_id"]] = [match["hits"], match["changed"]]
-            for (width, exact), (hashes, owners) in known.items():
-                mine = window_hashes(values if exact else template, width).astype(np.int64)
-                place = np.searchsorted(hashes, mine)
-                place[place == len(hashes)] = 0
-                for at in np.flatnonzero(hashes[place] == mine) if len(mine) else ():
-                    own, kind = signed[at:at + width], kinds[at:at + width]
-                    matched = {}
-                    for item_id, theirs in owners[int(mine[at])]:
-                        if consistent(own, theirs, kind):
-                            same = bool((own == theirs).all())
-                            matched[item_id] = matched.get(item_id, False) or same
-                    for item_id, same in matched.items():
-                        hits[item_id][0] += 1
-                        hits[item_id][1] += not same
-            yield (*row, [{"item_id": i, "hits": n, "changed": c} for i, (n, c) in sorted(hits.items())])
-
-    return map_rows(docs, docs.schema, rows)
+        for key, text in zip(part["key"], part["text"]):
+            values, *kinds = canonical(text, memo)
+            for width in widths:
+                for _, _, _, hashes in _readings(values, *kinds, width):
+                    for start in range(0, len(hashes), CHUNK):
+                        yield key, hashes[start:start + CHUNK]
+
+    cut = map_rows(texts.select("key", "text"), f"key {_KEY}, hashes array<long>", rows)
+    return cut.select("key", F.explode("hashes").alias("h"))
+
+
+def _found_windows(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """(key, width, exact, at, h, own, kinds) of the windows of (key, text, asked) whose hash is asked for."""
+    memo = Memo(_kind)
+
+    def rows(part: dict[str, list]) -> Iterator[tuple]:
+        for key, text, asked in zip(part["key"], part["text"], part["asked"]):
+            values, *kinds = canonical(text, memo)
+            asked = np.array(asked, np.int64)
+            for width in widths:
+                for exact, mine, places, hashes in _readings(values, *kinds, width):
+                    for i in np.flatnonzero(np.isin(hashes, asked)).tolist():
+                        at = int(places[i])
+                        yield (key, width, exact, at, int(hashes[i]), values[at:at + width].astype(np.int64),
+                               mine[at:at + width])
+
+    schema = (f"key {_KEY}, width int, exact boolean, at long, h long, own array<long>, kinds array<long>")
+    return map_rows(texts, schema, rows, slice_rows=16)
+
+
+def _consistent() -> Column:
+    """Slot values of two equal templates stand one to one against each other."""
+    both = F.arrays_zip(F.col("own").alias("x"), F.col("theirs").alias("y"), F.col("kinds").alias("kind"))
+    checks = []
+    for kind in SLOTS:
+        pairs = F.array_distinct(F.filter(both, lambda p: p["kind"] == kind))
+        checks += [F.size(pairs) == F.size(F.array_distinct(pairs["x"])),
+                   F.size(pairs) == F.size(F.array_distinct(pairs["y"]))]
+    return reduce(Column.__and__, checks)
 
 
 def annotate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-             least_fixed: int = LEAST_FIXED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+             least_fixed: int = LEAST_FIXED) -> DataFrame:
     """``docs`` with ``matches``, the items each text shares windows with.
 
     ``hits`` counts windows of the text found in the item, ``changed`` those with other
-    slot values. Null and empty texts match nothing; nor does an empty benchmark. A
-    column named matches is replaced. A benchmark of one block needs one pass over the
-    documents and no shuffle; each further block is a pass over the stored result.
+    slot values. Null and empty texts match nothing; nor does an empty benchmark or an
+    item without an id. Very long texts are whole, in rows of ``CHUNK`` windows. Rows that
+    repeat a text have the same matches. A column named matches is replaced, all others
+    stay as they are, whatever their names.
+
+    Window hashes of documents meet the benchmark's in a join on the hash: the planner sends the
+    table of hashes to the tasks while its size is below its limit, so that few rows of
+    documents are shuffled, and shuffles both sides beyond. Texts that meet any are
+    named by 128 bits of their hashes and cut again to compare slot values.
     """
+    windows = materialize(item_windows(items, window, least_fixed), "item_windows")
+    hashes = materialize(windows.select("h").distinct(), "window_hashes")
+    widths = sorted(r.width for r in windows.select("width").distinct().collect())  # ``window`` at most
+    names = [c for c in docs.columns if c != "matches"]
+    key = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit("text"), "text").alias("b")).alias("key")
+    texts = docs.select(key, "text")
+    asked = (document_windows(texts, widths).join(hashes, "h").distinct()
+             .groupBy("key").agg(F.collect_list("h").alias("asked")))
+    asked = materialize(asked, "asked_windows")
+    once = texts.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    met = _found_windows(once.join(asked, "key").select("key", "text", "asked"), widths)
+    same = F.col("own") == F.col("theirs")
+    held = (met.join(windows.select("item_id", "h", "theirs"), "h")
+            .where(F.when(F.col("exact"), same).otherwise(_consistent()))
+            .groupBy("key", "width", "at", "item_id").agg(F.max(same).alias("same")))
+    hits = held.groupBy("key", "item_id").agg(
+        F.count(F.lit(1)).alias("hits"), F.count_if(~F.col("same")).alias("changed"))
+    found = hits.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "hits", "changed"))).alias("found"))
+    found = materialize(found, "matched", replaces=[asked, hashes, windows])
     none = F.array().cast("array<struct<item_id:bigint,hits:bigint,changed:bigint>>")
-    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "matches"], none.alias("matches"))
-    stored = None
-    for i, block in enumerate(_blocks(items, window, least_fixed, block_rows)):
-        if i:
-            before, stored = stored, materialize(out, "matched")
-            out = stored
-            if before is not None:
-                release(before)
-        out = _annotated(out, block)
-    return out
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), key)
+    return carried.join(found, "key", "left").select(
+        *[F.col("row").getField(c).alias(c) for c in names], F.coalesce("found", none).alias("matches"))
 
 
 def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

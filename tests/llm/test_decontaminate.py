@@ -4,65 +4,67 @@ import re
 import pytest
 
 from corvane.llm import decontaminate as dec
-from corvane.llm.common import Memo
 
 WORDS = "river stone cloud green walk table house garden letter window music paper morning silver".split()
 
 
 def plain_tokens(text):
-    """(template token, value, kind) by the rules, one token at a time."""
-    out, opening = [], True
-    for token in re.findall(r"[.!?\n]|\d[\d.,]*|[^\W\d_]+", text or ""):
+    """(reading with marks as starts, reading without): (template token, value) by the rules."""
+    out, opening, mark = [], True, False
+    for token in re.findall(r"""[.!?\n]|\d[\d.,]*|[^\W\d_]+|[:\"“«(\[]|(?<!\w)['‘–—-]""", text or ""):
         if token in ".!?\n":
-            opening = True
+            opening, mark = True, False
+            continue
+        if not token[0].isalnum():
+            mark = True
             continue
         low = token.lower()
         if token[0].isdigit() or low in dec.NUMBER_WORDS:
-            out.append(("#num", low.rstrip(".,")))
+            one = other = "#num"
         elif low in dec.UNITS:
-            out.append(("#unit", low))
-        elif (len(token) > 1 and token.isupper()) or (token[0].isupper() and not opening):
-            out.append(("#name", low))
+            one = other = "#unit"
+        elif len(token) > 1 and token.isupper():
+            one = other = "#name"
         else:
-            out.append((low, low))
-        opening = token[0].isdigit() and token[-1] == "."
-    return out
+            one = "#name" if token[0].isupper() and not (opening or mark) else low
+            other = "#name" if token[0].isupper() and not opening else low
+        value = low.rstrip(".,") if token[0].isdigit() else low
+        out.append(((one, value), (other, value)))
+        opening, mark = token[0].isdigit() and token[-1] == ".", False
+    return [pair[0] for pair in out], [pair[1] for pair in out]
+
+
+def cuts(text, width):
+    """Windows of both readings by place."""
+    one, other = plain_tokens(text)
+    return [(one[i:i + width], other[i:i + width]) for i in range(len(one) - width + 1)]
 
 
 def plain(rows, items, window=dec.WINDOW, least=dec.LEAST_FIXED):
     indexed = []
     for item_id, text in items:
-        tokens = plain_tokens(text)
-        width = min(window, len(tokens))
-        if item_id is None or not width:
-            continue
-        cuts = [tokens[i:i + width] for i in range(len(tokens) - width + 1)]
-        good = [c for c in cuts if sum(t[0] != "#" for t, _ in c) >= min(least, width)]
-        indexed += [(item_id, width, c, False) for c in good] or [(item_id, width, c, True) for c in cuts]
+        width = min(window, len(plain_tokens(text)[0]))
+        if item_id is not None and width:
+            indexed += [(item_id, width, reading) for both in cuts(text, width) for reading in both]
     out = []
     for doc_id, text in rows:
-        tokens = plain_tokens(text)
         hits, changed = {}, {}
-        widths = {w for _, w, _, _ in indexed}
-        for width in widths:
-            for i in range(len(tokens) - width + 1):
-                own = tokens[i:i + width]
-                for exact in (False, True):
-                    matched = {}
-                    for item_id, w, cut, e in indexed:
-                        if w != width or e != exact:
-                            continue
-                        if exact and [v for _, v in cut] != [v for _, v in own]:
-                            continue
-                        if not exact and [t for t, _ in cut] != [t for t, _ in own]:
-                            continue
-                        pairs = [{(a[1], b[1]) for a, b in zip(own, cut) if a[0] == slot}
+        for width in {w for _, w, _ in indexed}:
+            for both in cuts(text, width):
+                matched = {}
+                for item_id, w, theirs in indexed:
+                    for own in both if w == width else ():
+                        same = [v for _, v in own] == [v for _, v in theirs]
+                        alike = ([t for t, _ in own] == [t for t, _ in theirs]
+                                 and sum(t[0] != "#" for t, _ in own) >= min(least, width))
+                        pairs = [{(a[1], b[1]) for a, b in zip(own, theirs) if a[0] == slot}
                                  for slot in ("#num", "#unit", "#name")]
-                        if all(len(p) == len({a for a, _ in p}) == len({b for _, b in p}) for p in pairs):
-                            matched[item_id] = matched.get(item_id, False) or own == cut
-                    for item_id, same in matched.items():
-                        hits[item_id] = hits.get(item_id, 0) + 1
-                        changed[item_id] = changed.get(item_id, 0) + (not same)
+                        if same or alike and all(
+                                len(p) == len({a for a, _ in p}) == len({b for _, b in p}) for p in pairs):
+                            matched[item_id] = matched.get(item_id, False) or same
+                for item_id, same in matched.items():
+                    hits[item_id] = hits.get(item_id, 0) + 1
+                    changed[item_id] = changed.get(item_id, 0) + (not same)
         out.append((doc_id, bool(hits), len(hits), sum(hits.values()), sum(changed.values()),
                     ",".join(map(str, sorted(hits)))))
     return sorted(out, key=repr)
@@ -83,8 +85,12 @@ def question(rng, name, n, unit):
     return f"The {head} of {name} has {n} {unit}, and {name} adds {n} {unit} to the {rng.choice(WORDS)} again."
 
 
-@pytest.mark.parametrize("block_rows", [60, dec.BLOCK_ROWS])
-def test_by_definition(spark, block_rows):
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_by_definition(spark, limit, monkeypatch):
+    """With the table of hashes sent to tasks and with both sides shuffled."""
+    monkeypatch.setattr(dec, "CHUNK", 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     rng = random.Random(3)
     items, rows = [], []
     for i in range(12):
@@ -98,7 +104,24 @@ def test_by_definition(spark, block_rows):
     rows += [(100, None), (101, ""), (102, "x short ITEM"), (103, "a short item of words b"), (104, "1 3 4 5 9"),
              (105, "7 8 9"), (0, rows[0][1])]
     docs, bench = frames(spark, rows, items)
-    assert result(dec.report(docs, bench, block_rows=block_rows)) == plain(rows, items)
+    try:
+        assert result(dec.report(docs, bench)) == plain(rows, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_copies_in_any_letter_case(spark):
+    item = "What is the total weight of Tom and Ann in kg?"
+    long_item = "A baker named Joe sells 40 rolls to Ann and 30 rolls to Joe in Rome every day of the week."
+    rows = [(i, before + form(text) + " and more") for i, (form, before, text) in enumerate(
+        [(f, b, t) for t in (item, long_item) for f in (str, str.upper, str.lower)
+         for b in ("", "Q: ", '"', "- ", "see (", "Words before. ")])]
+    rows += [(900, 'Q: What is the total weight of Bob and Eve in pounds?'), (901, "Q: What is the colour of Tom?")]
+    docs, bench = frames(spark, rows, [(1, item), (2, long_item)])
+    got = result(dec.report(docs, bench))
+    assert got == plain(rows, [(1, item), (2, long_item)])
+    assert {r[0] for r in got if r[1]} == {r[0] for r in rows} - {901}
+    assert [r[3:5] for r in got if r[0] == 900] == [(1, 1)]
 
 
 def test_whole_long_texts(spark):
@@ -127,6 +150,10 @@ def test_empty_tables_and_extra_columns(spark):
     assert dec.annotate(wide, bench.withColumn("doc_id", F.lit(1))).columns == [
         "doc_id", "text", "item_id", "hits", "matches"]
     assert dec.annotate(wide, bench).count() == 2
+    odd = ["key", "h", "a.b", "row", "asked", "found", "at", "own", "theirs", "kinds", "width", "exact"]
+    wide = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(odd)])
+    got = dec.annotate(wide, bench).collect()
+    assert {tuple(r)[2:-1] for r in got} == {tuple(range(len(odd)))} and len(got) == 2
 
 
 def test_planted_passages(spark):
@@ -136,8 +163,7 @@ def test_planted_passages(spark):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     texts = {r.item_id: r.text for r in bench.collect()}
     marked = {r.doc_id: r for r in dec.report(docs, bench).collect()}
-    memo = Memo(dec._kind)
     for r in docs.collect():
         whole = {str(i) for i, t in texts.items() if t in r.text}
         assert whole <= set(marked[r.doc_id]["items"].split(","))
-    assert 0 < sum(r.contaminated for r in marked.values()) < 200 and len(memo) == 0
+    assert 0 < sum(r.contaminated for r in marked.values()) < 200
