@@ -1,7 +1,10 @@
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.llm import mixing
 
@@ -21,7 +24,7 @@ def plain(shares, blocks):
     left, out, done = {s: n for s, n in blocks.items() if n}, {}, Counter()
     slot = 0
     while left:
-        order = mixing.period_of({s: shares[s] for s in sorted(left)})
+        order = mixing.period_of(dict(zip(sorted(left), mixing.lowest([shares[s] for s in sorted(left)]))))
         i, ended = 0, False
         while not ended:
             s = order[i % len(order)]
@@ -58,7 +61,7 @@ def documents(spark):
 
 def test_every_row_gets_one_place(spark):
     docs = documents(spark)
-    got = mixing.mix(docs, {"a": 1.0, "b": 2.0, "c": 1.0}, block_docs=4, period=40).collect()
+    got = mixing.mix(docs, {"a": 1.0, "b": 2.0, "c": 1.0}, block_docs=4).collect()
     assert len(got) == 904 and len({r.position for r in got}) == 904
     blocks = defaultdict(set)
     for r in got:
@@ -71,7 +74,7 @@ def test_every_row_gets_one_place(spark):
     assert slots == list(range(len(slots)))
     # While all sources have blocks, each is less than one block off its weight.
     n = {k: len(v) for k, v in blocks.items()}
-    shares = dict(zip(["a", "b", "c", None], mixing.shares_of([1, 2, 1, 4 / 3], 40)))
+    shares = dict(zip(["a", "b", "c", None], [3, 6, 3, 4]))
     at = {slot: k for k, v in blocks.items() for _, slot in v}
     seen, t = Counter(), 0
     while all(seen[k] < n[k] for k in n):
@@ -90,3 +93,53 @@ def test_derived_weights_and_empty(spark):
     assert again == {(r.doc_id, r.position) for r in got}
     with pytest.raises(ValueError):
         mixing.mix(docs, {"a": 0.0})
+
+
+@pytest.mark.parametrize("weights", [{0: 1, 1: 2}, {0: 1, 1: 1_000_000}, {0: 0.1, 1: 0.2, 2: 0.7},
+                                     {0: Fraction(1, 3), 1: Fraction(1, 7), 2: 1.5}, {0: 355, 1: 113, 2: 997}])
+def test_deviation_from_the_given_weights(weights):
+    """Over 60,000 slots and more, against the weights themselves, not against shares."""
+    shares = dict(zip(weights, mixing.exact_shares(list(weights.values()))))
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total, ends = sum(exact.values()), 70_000
+    blocks = {s: math.ceil(ends * w / total) + 1 for s, w in exact.items()}
+    spans, places = mixing.phases(shares, blocks)
+    slot_of = {(s, p, at): slot for s, p, at, slot in places}
+    order = {}
+    for s, phase, first, stop, share, period, start in spans:
+        for j in range(first, stop) if phase == 0 else ():
+            turn, at = divmod(j - first, share)
+            order[start + turn * period + slot_of[s, phase, at]] = s
+    assert len(order) > 60_000 and sorted(order) == list(range(len(order)))
+    seen = Counter()
+    for t in range(len(order)):
+        seen[order[t]] += 1
+        for s, w in exact.items():
+            # Whole numbers: |seen - (t + 1) * w / total| < 1.
+            assert abs(seen[s] * total - (t + 1) * w) < total
+
+
+def test_derived_weights_stay_near_the_roots():
+    counts = {0: 400_000, 1: 37, 2: 90_001}
+    blocks = {c: -(-n // 8) for c, n in counts.items()}
+    slots = 2 * sum(blocks.values())
+    ratio = mixing.shares_of([n ** 0.5 for n in counts.values()], slots)
+    roots = sum(n ** 0.5 for n in counts.values())
+    for share, n in zip(ratio, counts.values()):
+        assert abs(share / sum(ratio) - n ** 0.5 / roots) * sum(blocks.values()) < 0.5
+
+
+def test_too_long_period():
+    with pytest.raises(ValueError):
+        mixing.phases({0: 1, 1: mixing.MAX_PLACES}, {0: 5, 1: mixing.MAX_PLACES})
+    with pytest.raises(ValueError):
+        mixing.exact_shares([1, 0])
+
+
+def test_columns_of_any_name(spark):
+    odd = ["class_", "place_", "at_", "tie_", "part_", "name_", "phase_", "row_", "a.b", "block", "shift_", "n"]
+    docs = documents(spark).select("doc_id", "source", "text", *[F.lit(i).alias(c) for i, c in enumerate(odd)])
+    got = mixing.mix(docs)
+    kept = [c for c in odd if c != "block"]
+    assert got.columns == ["doc_id", "source", "text", *kept, "block", "slot", "position"]
+    assert {tuple(r)[3:-3] for r in got.collect()} == {tuple(i for i, c in enumerate(odd) if c != "block")}
