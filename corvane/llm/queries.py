@@ -174,11 +174,14 @@ every AS (
 spans AS (
   SELECT * FROM every e WHERE kind < 3 OR NOT EXISTS (
     SELECT 1 FROM every b WHERE b.r = e.r AND b.kind < 3 AND b.start < e.stop AND e.start < b.stop)),
-owners AS (SELECT v, count(DISTINCT source) AS n FROM spans JOIN docs USING (r) GROUP BY v),
+owners AS (
+  SELECT v, count(DISTINCT source) BETWEEN 1 AND {secret_scan.MAX_OWNERS}
+    AND count(DISTINCT doc_id) <= {secret_scan.MAX_REPOSITORIES} AS live
+  FROM spans JOIN docs USING (r) GROUP BY v),
 kept AS (
-  SELECT r, kind, start, stop, n BETWEEN 1 AND {secret_scan.MAX_OWNERS} AS live,
+  SELECT r, kind, start, stop, live,
     {names}[kind + 1] || ':' || start || ':' || stop AS listed
-  FROM spans JOIN owners USING (v) WHERE kind < 3 OR n BETWEEN 1 AND {secret_scan.MAX_OWNERS}),
+  FROM spans JOIN owners USING (v) WHERE kind < 3 OR live),
 sums AS (
   SELECT r, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1,
     count(*) FILTER (kind = 2) AS n2, count(*) FILTER (kind = 3) AS n3, count(*) FILTER (live) AS nl,

@@ -3,8 +3,8 @@
 Three base kinds are found by pattern: assignments to a secret's name, access key ids
 and runs of hexadecimal digits. Candidate values of the whole corpus, these and other
 runs that look generated, are aggregated by hash: how many different owners and
-repositories hold the value. A value that owners copy from each other is an example;
-one that a single owner holds looks live. The method adds the spans of generated-looking
+repositories hold the value. A value that owners copy from each other, or that stands in
+many repositories, is an example; one that a single owner holds in few looks live. The method adds the spans of generated-looking
 values that no base span covers and whose frequency makes them live, as kind ``owned``.
 
 Spans count code points, the end is exclusive. Patterns are matched leftmost and without
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.plans.scratch import materialize
+from corvane.plans.skew import skew_join
 
 # The kinds in the order that breaks ties, and their patterns.
 KINDS = ["assign", "access", "hex", "owned"]
@@ -27,7 +28,7 @@ ASSIGN_LEAST = 6
 # A generated-looking value: 20 or more of these characters with a letter and two digits.
 OTHER = r"[A-Za-z0-9+/_-]{20,}"
 LETTER, TWO_DIGITS = r"[A-Za-z]", r"[0-9].*[0-9]"
-MAX_OWNERS = 1
+MAX_OWNERS, MAX_REPOSITORIES = 1, 100
 CHUNK = 256
 
 _SPAN = "array<struct<kind:int,start:bigint,stop:bigint,value:string>>"
@@ -73,21 +74,24 @@ def _fingerprint(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
-def scan(docs: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWNERS,
+         max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """(doc_id, spans) of each row of ``docs`` (doc_id, text, owner and repository columns).
 
     ``spans`` holds (kind, start, stop, owners, repositories, live) by start, then kind; base
     spans stay whatever their frequency, with ``live`` telling owner-specific values from
-    examples. Values are kept as hashes only. Null texts are empty; a null owner or
-    repository counts as none, so a value without known owner isn't live.
+    examples. Values are kept as hashes only. Null texts are empty, and an empty table has
+    no rows. A null owner or repository counts as none, so a value without known owner isn't
+    live. Rows that repeat an id are scanned each. Very long texts are matched whole.
+    Other columns aren't read, whatever their names.
     """
     text = F.coalesce("text", F.lit(""))
     assign = F.filter(_spans(text, ASSIGN, 0, 1), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
     base = F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))
     other = F.filter(_spans(text, OTHER, 3), lambda x: x["value"].rlike(LETTER)
                      & x["value"].rlike(TWO_DIGITS))
-    rows = docs.select("doc_id", F.col(owner).cast("string").alias("owner"),
-                       F.col(repository).cast("string").alias("repository"),
+    rows = docs.select("doc_id", F.col(f"`{owner}`").cast("string").alias("owner"),
+                       F.col(f"`{repository}`").cast("string").alias("repository"),
                        base.alias("base"), other.alias("other"))
     free = F.filter("other", lambda o: ~F.exists(
         "base", lambda b: (b["start"] < o["stop"]) & (o["start"] < b["stop"])))
@@ -100,9 +104,11 @@ def scan(docs: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWN
                     hashed.alias("spans")), "secret_spans")
     each = found.select("row", "owner", "repository", F.explode("spans").alias("s")).select(
         "row", "owner", "repository", "s.*")
-    known = ownership(each)
-    judged = each.select("row", "kind", "start", "stop", "hash").join(known, "hash")
-    live = (F.col("owners") > 0) & (F.col("owners") <= max_owners)
+    known = materialize(ownership(each), "secret_owners")
+    # A value copied everywhere meets its one row of counts in as many parts as it has tasks' worth.
+    judged = skew_join(each.select("row", "kind", "start", "stop", "hash"), known.drop("n"), ["hash"], known,
+                       by=["row", "start"])
+    live = F.col("owners").between(1, max_owners) & (F.col("repositories") <= max_repositories)
     span = F.struct("start", "kind", "stop", "owners", "repositories", live.alias("live"))
     kept = (judged.where((F.col("kind") < 3) | live).groupBy("row")
             .agg(F.sort_array(F.collect_list(span)).alias("spans")))
@@ -112,16 +118,15 @@ def scan(docs: DataFrame, owner: str, repository: str, max_owners: int = MAX_OWN
 
 
 def ownership(values: DataFrame) -> DataFrame:
-    """(hash, owners, repositories): how many different owners and repositories hold a value.
+    """(hash, owners, repositories, n): how many different owners and repositories hold a value,
+    and in how many places it stands.
 
-    Copies inside an owner and repository collapse first, so a value found everywhere
-    reaches the count as one row for each owner and repository.
+    Copies inside an owner and repository collapse before the shuffle, so a value found
+    everywhere reaches the count as one row for each owner or repository.
     """
-    holders = values.select("hash", "owner", "repository").distinct()
-    owners = holders.groupBy("hash", "owner").agg(F.count("repository").alias("repositories"))
-    # A repository belongs to one owner; one that several share counts for each.
-    return owners.groupBy("hash").agg(F.count("owner").alias("owners"),
-                                      F.sum("repositories").alias("repositories"))
+    return values.groupBy("hash").agg(
+        F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories"),
+        F.count(F.lit(1)).alias("n"))
 
 
 def _listed(spans: Column) -> Column:

@@ -11,9 +11,9 @@ BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x
 OTHER = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 
 
-def plain(rows, max_owners=1):
-    """The digest rows, by matching every text and counting owners over all of them."""
-    found, owners = [], defaultdict(set)
+def plain(rows, max_owners=1, most=scan.MAX_REPOSITORIES):
+    """The digest rows, by matching every text and counting owners and documents over all of them."""
+    found, owners, places = [], defaultdict(set), defaultdict(set)
     for doc_id, text, owner in rows:
         text, spans = text or "", []
         for k, (_, pattern, group, least) in enumerate(BASE):
@@ -25,15 +25,21 @@ def plain(rows, max_owners=1):
         for _, _, _, value in spans:
             if owner is not None:
                 owners[value].add(owner)
+            if doc_id is not None:
+                places[value].add(doc_id)
         found.append((doc_id, spans))
+
+    def live(span):
+        return 0 < len(owners[span[3]]) <= max_owners and len(places[span[3]]) <= most
+
     out = []
     for doc_id, spans in found:
-        kept = sorted(s for s in spans if s[1] < 3 or 0 < len(owners[s[3]]) <= max_owners)
+        kept = sorted(s for s in spans if s[1] < 3 or live(s))
         name = lambda s: f"{scan.KINDS[s[1]]}:{s[0]}:{s[2]}"
         out.append((doc_id, *[sum(s[1] == k for s in kept) for k in range(3)],
                     hashlib.sha256(",".join(name(s) for s in kept if s[1] < 3).encode()).hexdigest(),
                     ",".join(map(name, kept)), sum(s[1] == 3 for s in kept),
-                    sum(0 < len(owners[s[3]]) <= max_owners for s in kept)))
+                    sum(map(live, kept))))
     return sorted(out, key=repr)
 
 
@@ -64,5 +70,21 @@ def test_examples_and_live_values(spark):
     assert got == {1: ("", 0, 0), 2: ("", 0, 0), 3: ("owned:4:28", 1, 1), 4: ("owned:0:24", 1, 1)}
 
 
+def test_many_repositories_of_one_owner(spark):
+    """Copies over many documents of one owner are no live value; many places in few documents are."""
+    copied, held = "Zx9" * 8, "Qw7" * 8
+    rows = [(i, f"see {copied}", "a") for i in range(scan.MAX_REPOSITORIES + 1)]
+    rows += [(i % 3, f"{held} {held}", "b") for i in range(1000, 1200)]
+    got = result(spark, rows)
+    assert got == plain(rows)
+    assert {r[5] for r in got} == {"", "owned:0:24,owned:25:49"}
+
+
+def test_owners_and_repositories_are_distinct(spark):
+    rows = [("v", "a", "r"), ("v", "b", "r"), ("v", "a", "s"), ("v", "a", "s"), ("v", None, "t"), ("w", "a", None)]
+    got = scan.ownership(spark.createDataFrame(rows, "hash string, owner string, repository string")).collect()
+    assert sorted(map(tuple, got)) == [("v", 2, 3, 5), ("w", 1, 0, 1)]
+
+
 def test_empty_table(spark):
     assert result(spark, []) == []
