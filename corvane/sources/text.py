@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corvane.functions.tokens import SPACE_DELIMITERS
@@ -22,32 +24,57 @@ def read_text(spark: SparkSession, path: str | list[str], partitions: int | None
 _PLACED = "file string, block long, at long, text string"
 
 
+def _runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """(start, stop) of the runs of rows of one split."""
+    changes = np.zeros(batch.num_rows, bool)
+    for name in ("file", "block"):
+        column = batch.column(name)
+        changes[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    cuts = [0, *np.flatnonzero(changes).tolist(), batch.num_rows]
+    return [run for run in zip(cuts, cuts[1:]) if run[0] < run[1]]
+
+
+def _cut_lines(values: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The lines of values that hold a CR, the value each comes from, and its offset there."""
+    out, of, at = [], [], []
+    for i, value in enumerate(values.to_pylist()):
+        # The CR of a final CR LF ends the same line as the LF.
+        pieces, place = value.split(b"\r"), 0
+        for piece in pieces[:-1] if len(pieces) > 1 and not pieces[-1] else pieces:
+            out.append(piece)
+            of.append(i)
+            at.append(place)
+            place += len(piece) + 1
+    return pa.array(out, pa.large_binary()), np.array(of, np.int64), np.array(at, np.int64)
+
+
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines with their byte offset in their split, cut at a lone CR as well.
 
-    A task reads a split's rows in order, so a running sum is all it takes.
+    A task reads a split's rows in order, so a running sum of their lengths is all it
+    takes; rows are looked at one by one only where they hold a CR.
     """
     running, split = 0, None
     for batch in batches:
-        lines = batch.column(0).cast(pa.large_binary()).to_pylist()
-        places = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-        at, out, of = [], [], []
-        for value, place in zip(lines, places):
+        for start, stop in _runs(batch):
+            part = batch.slice(start, stop - start)
+            place = (part.column("file")[0].as_py(), part.column("block")[0].as_py())
             if place != split:
                 running, split = 0, place
-            end = running + len(value) + 1
-            # The CR of a final CR LF ends the same line as the LF.
-            pieces = value.split(b"\r") if b"\r" in value else [value]
-            for piece in pieces[:-1] if len(pieces) > 1 and not pieces[-1] else pieces:
-                at.append(running)
-                out.append(piece)
-                of.append(place)
-                running += len(piece) + 1
-            running = end
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f for f, _ in of], pa.string()), pa.array([b for _, b in of], pa.int64()),
-             pa.array(at, pa.int64()), pa.array(out, pa.binary()).view(pa.string())],
-            names=["file", "block", "at", "text"])
+            lines = part.column("value").cast(pa.large_binary())
+            ends = running + np.cumsum(pc.binary_length(lines).to_numpy(zero_copy_only=False) + 1)
+            at, running = np.concatenate(([running], ends[:-1])), int(ends[-1])
+            broken = pc.match_substring(lines, b"\r").to_numpy(zero_copy_only=False)
+            if broken.any():
+                cut, of, inside = _cut_lines(lines.filter(pa.array(broken)))
+                whole = np.flatnonzero(~broken)
+                at = np.concatenate((at[whole], at[np.flatnonzero(broken)][of] + inside))
+                lines = pa.concat_arrays([lines.take(pa.array(whole)), cut])
+            rows = len(lines)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([place[0]] * rows, pa.string()), pa.array(np.full(rows, place[1], np.int64)),
+                 pa.array(at.astype(np.int64)), lines.cast(pa.binary()).view(pa.string())],
+                names=["file", "block", "at", "text"])
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -141,3 +141,32 @@ def test_scratch_tables_are_dropped(spark):
     assert len(here()) == 1 and rows(two) == [(3,), (4,)]
     scratch.release(two, two, spark.range(1))
     assert not here()
+
+
+def test_offsets_of_runs_of_splits():
+    """Rows of several splits in one batch and one split over several, some with CR."""
+    import random
+    import re
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    for _ in range(40):
+        values, want = [], []
+        for split in range(rng.randint(1, 4)):
+            body = "".join(rng.choice(["a", "é", "\n", "\r", "\r\n", "bc"]) for _ in range(rng.randint(1, 30)))
+            for value in (body[:-1] if body.endswith("\n") else body).split("\n"):
+                values.append((value, "f", split))
+            ends, at = re.split(r"(\r\n|\r|\n)", body), 0
+            for line, end in zip(ends[::2], [*ends[1::2], ""]):
+                if line or end:
+                    want.append((split, at, line))
+                at += len((line + end).encode())
+        step, batches = rng.randint(1, 9), []
+        for i in range(0, len(values), step):
+            columns = zip(*values[i:i + step])
+            batches.append(pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
+                names=["value", "file", "block"]))
+        got = [(r["block"], r["at"], r["text"]) for b in readers._placed(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
