@@ -9,8 +9,11 @@ sentence or not: windows with such words stand both ways.
 Windows of ``WINDOW`` tokens of this template are hashed and hash-joined to the windows of
 the benchmark items, so a question is found again with other numbers, names or units. A
 window counts when its slots are consistent: equal values of one side must stand against
-equal values of the other, one to one, within a type. Beside its template every window
-is joined by its exact words, folded to lower case, so a copy is found in any letter case.
+equal values of the other, one to one, within a type. That holds just when every slot
+repeats its value at the same distance on both sides, so these distances inside the
+window are part of its hash. Beside its template every window is joined by its exact words,
+folded to lower case, so a copy is found in any letter case. Hashes have 64 bits: 10 ** 13 windows
+of documents meet 10 ** 6 of items by chance about once in two runs.
 
 An item shorter than the window is one window as a whole. Templates with fewer than
 ``LEAST_FIXED`` tokens outside slots say nothing about an item; these windows are looked up
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import xxhash
@@ -55,182 +58,198 @@ SLOTS = {NUM: "#num", UNIT: "#unit", NAME: "#name"}
 
 
 PLAIN, END, MARK = 0, 1, 2
+GROUP_TOKENS = 200_000  # tokens of several texts that are looked at together
 
 
-def _kind(token: str) -> tuple[int, int, int, int]:
-    """(hash of the token's value, kind inside a sentence, kind at its start, role)."""
+def _packed(token: str) -> int:
+    """58 bits of the value's hash, then the kind inside a sentence, the kind at its start, the role."""
     if token in ENDS:
-        return 0, WORD, WORD, END
+        return END
     if token in MARKS:
-        return 0, WORD, WORD, MARK
-    folded = token.lower()
-    value = xxhash.xxh3_64_intdigest(folded.rstrip(".,").encode("utf-8", "surrogatepass"))
+        return MARK
+    folded, role = token.lower(), PLAIN
     if token[0].isdigit() or folded in NUMBER_WORDS:
-        return value, NUM, NUM, END if token[0].isdigit() and token[-1] == "." else PLAIN
-    if folded in UNITS:
-        return value, UNIT, UNIT, PLAIN
-    if len(token) > 1 and token.isupper():
-        return value, NAME, NAME, PLAIN
-    return value, (NAME if token[0].isupper() else WORD), WORD, PLAIN
+        inside = opening = NUM
+        role = END if token[0].isdigit() and token[-1] == "." else PLAIN
+    elif folded in UNITS:
+        inside = opening = UNIT
+    elif len(token) > 1 and token.isupper():
+        inside = opening = NAME
+    else:
+        inside, opening = NAME if token[0].isupper() else WORD, WORD
+    value = xxhash.xxh3_64_intdigest(folded.rstrip(".,").encode("utf-8", "surrogatepass"))
+    return max(value >> 6, 1) << 6 | inside << 4 | opening << 2 | role
 
 
 _SLOT_HASH = np.array([0] + [xxhash.xxh3_64_intdigest(SLOTS[k]) for k in (NUM, UNIT, NAME)], np.uint64)
+_FAR = np.int64(1) << 40
 
 
-def canonical(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(value hashes, kinds, other kinds) of the tokens of a text.
+@dataclass
+class Tokens:
+    """The tokens of several texts: the text each is of, its value and its kinds.
 
-    The kinds take a word after a mark for the start of a sentence, the other kinds don't.
+    ``kinds`` takes a word after a mark for the start of a sentence, ``others`` doesn't.
     """
-    found = [memo[t] for t in TOKEN.findall(text or "")]
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    values = np.array([f[0] for f in found], np.uint64)
-    inside, opening, role = np.array([f[1:] for f in found], np.int64).T
-    marks = role == MARK
-    after_mark = np.concatenate(([False], marks[:-1]))[~marks]
-    values, inside, opening, ends = (x[~marks] for x in (values, inside, opening, role == END))
-    first = np.concatenate(([True], ends[:-1]))[:len(values)]
-    kept = values != 0
-    kinds = np.where(first | after_mark, opening, inside)[kept]
-    return values[kept], kinds, np.where(first, opening, inside)[kept]
-
-
-def window_hashes(tokens: np.ndarray, width: int, exact: bool) -> np.ndarray:
-    """Hash of every window of ``width`` tokens; widths and exact windows have hashes of their own."""
-    size = len(tokens) - width + 1
+
+    of: np.ndarray
+    values: np.ndarray
+    kinds: np.ndarray
+    others: np.ndarray
+
+
+def canonical(packed: list[np.ndarray]) -> Tokens:
+    """The tokens of texts given as arrays of packed tokens."""
+    of = np.repeat(np.arange(len(packed)), [len(p) for p in packed])
+    every = np.concatenate(packed) if packed else np.zeros(0, np.uint64)
+    role = every & np.uint64(3)
+    after_mark = np.concatenate(([False], role[:-1] == MARK))[:len(of)]
+    kept = role != MARK
+    of, every, ends, after_mark = of[kept], every[kept], role[kept] == END, after_mark[kept]
+    first = np.concatenate(([True], ends[:-1] | (of[1:] != of[:-1])))[:len(of)]
+    inside, opening = ((every >> np.uint64(bit) & np.uint64(3)).astype(np.int64) for bit in (4, 2))
+    words = every >> np.uint64(6) != 0
+    return Tokens(of[words], every[words] >> np.uint64(6), np.where(first | after_mark, opening, inside)[words],
+                  np.where(first, opening, inside)[words])
+
+
+def groups(texts: list[str | None], memo: Memo) -> Iterator[tuple[int, Tokens]]:
+    """(number of the first text, tokens) of runs of texts; a text alone may have any length."""
+    first, size, packed = 0, 0, []
+    for text in texts:
+        found = TOKEN.findall(text or "")
+        if packed and size + len(found) > GROUP_TOKENS:
+            yield first, canonical(packed)
+            first, size, packed = first + len(packed), 0, []
+        packed.append(np.fromiter(map(memo.__getitem__, found), np.uint64, len(found)))
+        size += len(found)
+    if packed:
+        yield first, canonical(packed)
+
+
+def repeats(tokens: Tokens, kinds: np.ndarray) -> np.ndarray:
+    """How many tokens before each slot its value stood last in a slot of that kind, or ``_FAR``."""
+    out = np.full(len(kinds), _FAR)
+    slots = np.flatnonzero(kinds != WORD)
+    order = slots[np.lexsort((slots, tokens.values[slots], kinds[slots], tokens.of[slots]))]
+    same = np.ones(max(0, len(order) - 1), bool)
+    for column in (tokens.of, kinds, tokens.values):
+        same &= column[order[1:]] == column[order[:-1]]
+    out[order[1:][same]] = np.diff(order)[same]
+    return out
+
+
+def window_hashes(tokens: Tokens, kinds: np.ndarray | None, width: int) -> np.ndarray:
+    """Hash of every window of ``width`` tokens, by its words or by the template of ``kinds``; each
+    width and form has hashes of its own."""
+    size = len(tokens.values) - width + 1
+    rolled = np.full(max(0, size), np.uint64(2 * width + (kinds is None)))
     if size <= 0:
-        return np.zeros(0, np.int64)
-    rolled = np.full(size, np.uint64(2 * width + exact))
+        return rolled.astype(np.int64)
+    plain = bound = tokens.values
+    if kinds is not None:
+        back = repeats(tokens, kinds)
+        plain = np.where(kinds == WORD, tokens.values, _SLOT_HASH[kinds])
+        bound = plain + back.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for i in range(width):
         rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        rolled += tokens[i:i + size]
+        part = slice(i, i + size)
+        rolled += plain[part] if kinds is None else np.where(back[part] <= i, bound[part], plain[part])
     return (rolled ^ (rolled >> np.uint64(31))).astype(np.int64)
 
 
-def _templates(values: np.ndarray, kinds: np.ndarray, width: int) -> np.ndarray:
-    return window_hashes(np.where(kinds == WORD, values, _SLOT_HASH[kinds]), width, False)
-
-
-def _readings(values: np.ndarray, kinds: np.ndarray, others: np.ndarray, width: int) -> list[tuple]:
-    """(exact, the kinds, places of windows, their hashes): the windows of a text by their words and
-    by their templates; those of the other kinds only where they differ."""
-    every = np.arange(max(0, len(values) - width + 1))
-    found = [(True, kinds, every, window_hashes(values, width, True)),
-             (False, kinds, every, _templates(values, kinds, width))]
-    sums = np.concatenate(([0], np.cumsum(kinds != others)))
-    differ = every[sums[every + width] > sums[every]]
-    if len(differ):
-        found.append((False, others, differ, _templates(values, others, width)[differ]))
-    return found
+def readings(tokens: Tokens, width: int) -> Iterator[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
+    """(kinds or None for exact words, places, hashes) of the windows inside one text; those of
+    the other kinds only where they differ."""
+    places = np.arange(max(0, len(tokens.of) - width + 1))
+    whole = tokens.of[places] == tokens.of[places + width - 1]
+    sums = np.concatenate(([0], np.cumsum(tokens.kinds != tokens.others)))
+    differ = whole & (sums[places + width] > sums[places])
+    for kinds, asked in ((None, whole), (tokens.kinds, whole), (tokens.others, differ)):
+        if asked.any():
+            yield kinds, places[asked], window_hashes(tokens, kinds, width)[asked]
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, least_fixed: int = LEAST_FIXED) -> DataFrame:
-    """(item_id, width, exact, h, theirs): the windows of the items, repeated ones once an item."""
-    memo = Memo(_kind)
+    """(item_id, width, exact, h): the windows of the items, repeated ones once an item."""
+    memo = Memo(_packed)
 
     def rows(part: dict[str, list]) -> Iterator[tuple]:
         for item_id, text in zip(part["item_id"], part["text"]):
-            values, *kinds = canonical(text, memo)
-            width = min(window, len(values))
+            tokens = next(groups([text], memo))[1]
+            width = min(window, len(tokens.of))
             if item_id is None or not width:
                 continue
-            for exact, mine, places, hashes in _readings(values, *kinds, width):
+            for kinds, places, hashes in readings(tokens, width):
                 for at, h in zip(places.tolist(), hashes.tolist()):
-                    if exact or (mine[at:at + width] == WORD).sum() >= min(least_fixed, width):
-                        yield item_id, width, exact, h, values[at:at + width].astype(np.int64)
+                    if kinds is None or (kinds[at:at + width] == WORD).sum() >= min(least_fixed, width):
+                        yield item_id, width, kinds is None, h
 
-    schema = "item_id long, width int, exact boolean, h long, theirs array<long>"
+    schema = "item_id long, width int, exact boolean, h long"
     return map_rows(items.select("item_id", "text"), schema, rows).distinct()
 
 
-_KEY = "struct<a:bigint,b:bigint>"
-
-
 def document_windows(texts: DataFrame, widths: list[int]) -> DataFrame:
-    """(key, h): the hash of every window of the texts (key, text)."""
-    memo = Memo(_kind)
+    """(a, b, at, h): the place and hash of every window of the texts (a, b, text)."""
+    memo = Memo(_packed)
 
     def rows(part: dict[str, list]) -> Iterator[tuple]:
-        for key, text in zip(part["key"], part["text"]):
-            values, *kinds = canonical(text, memo)
+        for start, tokens in groups(part["text"], memo):
+            begins = np.searchsorted(tokens.of, np.arange(tokens.of[-1] + 1 if len(tokens.of) else 0))
             for width in widths:
-                for _, _, _, hashes in _readings(values, *kinds, width):
-                    for start in range(0, len(hashes), CHUNK):
-                        yield key, hashes[start:start + CHUNK]
-
-    cut = map_rows(texts.select("key", "text"), f"key {_KEY}, hashes array<long>", rows)
-    return cut.select("key", F.explode("hashes").alias("h"))
+                for _, places, hashes in readings(tokens, width):
+                    # Runs of windows side by side in a text, of at most CHUNK.
+                    of = tokens.of[places]
+                    cuts = np.flatnonzero((np.diff(places) != 1) | (np.diff(of) != 0)) + 1
+                    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(places)]):
+                        row = int(of[low])
+                        for at in range(low, high, CHUNK):
+                            yield (part["a"][start + row], part["b"][start + row], int(places[at] - begins[row]),
+                                   hashes[at:min(high, at + CHUNK)])
 
+    cut = map_rows(texts.select("a", "b", "text"), "a long, b long, start long, hashes array<long>", rows)
+    return (cut.select("a", "b", "start", F.posexplode("hashes").alias("i", "h"))
+            .select("a", "b", (F.col("start") + F.col("i")).alias("at"), "h"))
 
-def _found_windows(texts: DataFrame, widths: list[int]) -> DataFrame:
-    """(key, width, exact, at, h, own, kinds) of the windows of (key, text, asked) whose hash is asked for."""
-    memo = Memo(_kind)
 
-    def rows(part: dict[str, list]) -> Iterator[tuple]:
-        for key, text, asked in zip(part["key"], part["text"], part["asked"]):
-            values, *kinds = canonical(text, memo)
-            asked = np.array(asked, np.int64)
-            for width in widths:
-                for exact, mine, places, hashes in _readings(values, *kinds, width):
-                    for i in np.flatnonzero(np.isin(hashes, asked)).tolist():
-                        at = int(places[i])
-                        yield (key, width, exact, at, int(hashes[i]), values[at:at + width].astype(np.int64),
-                               mine[at:at + width])
+def _name() -> list[Column]:
+    """128 bits of hashes that name a text."""
+    return [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("text"), "text").alias("b")]
 
-    schema = (f"key {_KEY}, width int, exact boolean, at long, h long, own array<long>, kinds array<long>")
-    return map_rows(texts, schema, rows, slice_rows=16)
 
+def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW,
+            least_fixed: int = LEAST_FIXED) -> DataFrame:
+    """(a, b, found), stored: the items that texts share windows with, by the texts' names.
 
-def _consistent() -> Column:
-    """Slot values of two equal templates stand one to one against each other."""
-    both = F.arrays_zip(F.col("own").alias("x"), F.col("theirs").alias("y"), F.col("kinds").alias("kind"))
-    checks = []
-    for kind in SLOTS:
-        pairs = F.array_distinct(F.filter(both, lambda p: p["kind"] == kind))
-        checks += [F.size(pairs) == F.size(F.array_distinct(pairs["x"])),
-                   F.size(pairs) == F.size(F.array_distinct(pairs["y"]))]
-    return reduce(Column.__and__, checks)
+    The planner sends the table of item windows to the tasks while its size is below its
+    limit, so that few rows of documents are shuffled, and shuffles both sides beyond.
+    """
+    known = materialize(item_windows(items, window, least_fixed), "item_windows")
+    widths = sorted(r.width for r in known.select("width").distinct().collect())  # ``window`` at most
+    met = document_windows(docs.select(*_name(), "text"), widths).join(known, "h")
+    held = met.groupBy("a", "b", "item_id", "width", "at").agg(F.max("exact").alias("same"))
+    hits = held.groupBy("a", "b", "item_id").agg(
+        F.count(F.lit(1)).alias("hits"), F.count_if(~F.col("same")).alias("changed"))
+    found = hits.groupBy("a", "b").agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "hits", "changed"))).alias("found"))
+    return materialize(found, "matched", replaces=[known])
 
 
 def annotate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-             least_fixed: int = LEAST_FIXED) -> DataFrame:
+             least_fixed: int = LEAST_FIXED, carry_text: bool = True) -> DataFrame:
     """``docs`` with ``matches``, the items each text shares windows with.
 
     ``hits`` counts windows of the text found in the item, ``changed`` those with other
     slot values. Null and empty texts match nothing; nor does an empty benchmark or an
     item without an id. Very long texts are whole, in rows of ``CHUNK`` windows. Rows that
     repeat a text have the same matches. A column named matches is replaced, all others
-    stay as they are, whatever their names.
-
-    Window hashes of documents meet the benchmark's in a join on the hash: the planner sends the
-    table of hashes to the tasks while its size is below its limit, so that few rows of
-    documents are shuffled, and shuffles both sides beyond. Texts that meet any are
-    named by 128 bits of their hashes and cut again to compare slot values.
+    stay as they are, whatever their names; ``carry_text=False`` leaves the text out.
     """
-    windows = materialize(item_windows(items, window, least_fixed), "item_windows")
-    hashes = materialize(windows.select("h").distinct(), "window_hashes")
-    widths = sorted(r.width for r in windows.select("width").distinct().collect())  # ``window`` at most
-    names = [c for c in docs.columns if c != "matches"]
-    key = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit("text"), "text").alias("b")).alias("key")
-    texts = docs.select(key, "text")
-    asked = (document_windows(texts, widths).join(hashes, "h").distinct()
-             .groupBy("key").agg(F.collect_list("h").alias("asked")))
-    asked = materialize(asked, "asked_windows")
-    once = texts.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    met = _found_windows(once.join(asked, "key").select("key", "text", "asked"), widths)
-    same = F.col("own") == F.col("theirs")
-    held = (met.join(windows.select("item_id", "h", "theirs"), "h")
-            .where(F.when(F.col("exact"), same).otherwise(_consistent()))
-            .groupBy("key", "width", "at", "item_id").agg(F.max(same).alias("same")))
-    hits = held.groupBy("key", "item_id").agg(
-        F.count(F.lit(1)).alias("hits"), F.count_if(~F.col("same")).alias("changed"))
-    found = hits.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("item_id", "hits", "changed"))).alias("found"))
-    found = materialize(found, "matched", replaces=[asked, hashes, windows])
+    names = [c for c in docs.columns if c != "matches" and (carry_text or c != "text")]
+    found = matches(docs, items, window, least_fixed)
     none = F.array().cast("array<struct<item_id:bigint,hits:bigint,changed:bigint>>")
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), key)
-    return carried.join(found, "key", "left").select(
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_name())
+    return carried.join(found, ["a", "b"], "left").select(
         *[F.col("row").getField(c).alias(c) for c in names], F.coalesce("found", none).alias("matches"))
 
 
@@ -239,7 +258,7 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
     ``items`` lists the matched item ids in order, comma-joined.
     """
-    marked = annotate(docs.select("doc_id", "text"), items, **options)
+    marked = annotate(docs.select("doc_id", "text"), items, carry_text=False, **options)
 
     def total(name: str):
         return F.aggregate("matches", F.lit(0).cast("bigint"), lambda n, x: n + x[name])

@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from corvane.llm import decontaminate as dec
+from corvane.llm.common import Memo
 
 WORDS = "river stone cloud green walk table house garden letter window music paper morning silver".split()
 
@@ -110,6 +112,26 @@ def test_by_definition(spark, limit, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+def test_groups_of_texts(monkeypatch, most):
+    """Windows of texts looked at together are those of each text alone."""
+    monkeypatch.setattr(dec, "GROUP_TOKENS", most)
+    rng = random.Random(8)
+    pieces = ["Tom", "Ann", "3", "kg", "walk", "Walk", ":", '"', ".", "\n", "- ", "4.", "LOUD", "é"]
+    texts = [None, "", "."] + [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(40)]
+    memo, got = Memo(dec._packed), {}
+    for first, tokens in dec.groups(texts, memo):
+        for kinds, places, hashes in dec.readings(tokens, 3):
+            for of, h in zip(tokens.of[places], hashes.tolist()):
+                got.setdefault(first + int(of), []).append(h)
+    want = {}
+    for i, text in enumerate(texts):
+        tokens = dec.canonical([np.array([dec._packed(t) for t in dec.TOKEN.findall(text or "")], np.uint64)])
+        found = [h for _, _, hashes in dec.readings(tokens, 3) for h in hashes.tolist()]
+        want |= {i: found} if found else {}
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted(v) for i, v in want.items()}
+
+
 def test_copies_in_any_letter_case(spark):
     item = "What is the total weight of Tom and Ann in kg?"
     long_item = "A baker named Joe sells 40 rolls to Ann and 30 rolls to Joe in Rome every day of the week."
@@ -150,7 +172,7 @@ def test_empty_tables_and_extra_columns(spark):
     assert dec.annotate(wide, bench.withColumn("doc_id", F.lit(1))).columns == [
         "doc_id", "text", "item_id", "hits", "matches"]
     assert dec.annotate(wide, bench).count() == 2
-    odd = ["key", "h", "a.b", "row", "asked", "found", "at", "own", "theirs", "kinds", "width", "exact"]
+    odd = ["key", "h", "a.b", "a", "b", "row", "asked", "found", "at", "own", "theirs", "kinds", "width", "exact"]
     wide = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(odd)])
     got = dec.annotate(wide, bench).collect()
     assert {tuple(r)[2:-1] for r in got} == {tuple(range(len(odd)))} and len(got) == 2
