@@ -228,13 +228,24 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         F.col("id").alias("node"), "component")
 
 
-def _across(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """(a, b) of the pairs whose ends lie in different components."""
+def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """``component`` with those joined that links (a, b) connect. Rounds are over the few
+    components that links touch; no earlier link is read again."""
+    edges = materialize(_across(links, component, "of_a AS src", "of_b AS dst").distinct(), "edges")
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    found = weakly_connected_components(ends, edges).select(
+        F.col("id").alias("component"), F.col("component").alias("into"))
+    return materialize(component.join(found, "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component")), "components", replaces=[component, edges])
+
+
+def _across(pairs: DataFrame, component: DataFrame, *columns: str) -> DataFrame:
+    """(a, b), or ``columns``, of the pairs whose ends lie in different components."""
     def side(end: str) -> DataFrame:
         return component.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
 
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(
-        "of_a != of_b").select("a", "b")
+        "of_a != of_b").selectExpr(*(columns or ("a", "b")))
 
 
 def _blocks(members: DataFrame, regions: DataFrame, weight: str) -> DataFrame:
@@ -378,12 +389,14 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
             .agg(F.max_by("e.other", F.struct("agree", "e.other")).alias("other"))
             .select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = _confirmed(materialize(_ordered(best), "best"), docs, nodes, words, percent)
-    component = materialize(_components(nodes, links), "components")
+    component = materialize(_components(nodes, links), "components", replaces=[links])
     rest = materialize(_across(candidates, component), "rest")
     for more in (lambda: _confirmed(rest, docs, nodes, words, percent),
                  lambda: _region_links(docs, nodes, component, words, percent, floor)):
-        links = links.unionByName(more())
-        component = materialize(_components(nodes, links), "components")
+        links = more()
+        if not links.isEmpty():
+            component = _merged(component, links)
+        release(links)
     names = (nodes.join(component, "node").groupBy("component")
              .agg(F.min("id").alias("component_id")))
     named = component.join(names, "component").select("node", "component_id")

@@ -105,3 +105,17 @@ def test_signature_estimates_similarity():
     assert abs(agree - 1840 / 2160) < 0.2
     floor = forest.VALUES * 0.85 - 4 * (forest.VALUES * 0.85 * 0.15) ** 0.5
     assert floor - 1 < forest.agree_floor(85) <= floor
+
+
+def test_settled_components_are_not_searched_again(spark, monkeypatch):
+    """Rounds without a new link leave the components alone, others see only new links."""
+    seen, search = [], forest.weakly_connected_components
+    monkeypatch.setattr(forest, "weakly_connected_components",
+                        lambda nodes, edges: seen.append(edges.count()) or search(nodes, edges))
+    rows = near_copies(5, 5, 2, 60)
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert result(got) == plain(rows, 3, 85) and len(seen) == 1
+    seen.clear()
+    rows = near_copies(1, 8, 14, 120)
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert result(got) == plain(rows, 3, 85) and len(seen) > 1 and max(seen[1:]) < seen[0]
