@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions.measures import pmi as pmi_of
 from corvane.functions.tokens import distinct_tokens
 from corvane.operators.words import document_frequency
 from corvane.plans.ids import dense_ids
-from corvane.plans.scratch import materialize
+from corvane.plans.scratch import materialize, release, sweep
 from corvane.plans.skew import TASK_ROWS, hot_keys, skew_join, spread_rows
 
 
@@ -16,6 +19,12 @@ from corvane.plans.skew import TASK_ROWS, hot_keys, skew_join, spread_rows
 STRIPE_ENTRIES = 65_536
 # Terms of a line that one task pairs with the rest of the line.
 LINE_TERMS = 4_096
+# Lists of partners take many times the room of the lines. They are shuffled in rounds of so
+# many partners for each term of a line, and terms are numbered in so many rounds, where there
+# are more than the least: disk grows with the lines, and the number of rounds does not.
+ROUND_PARTNERS = 2
+TERM_ROUNDS = 4
+LEAST_ROUND = 1 << 24
 
 
 def _frequent_terms(lines: DataFrame, min_support: int) -> DataFrame:
@@ -43,8 +52,25 @@ def _owned(lists: DataFrame, line_terms: int) -> DataFrame:
             .select("docno", "x", partners.alias("ys")))
 
 
+def _line_terms(lines: DataFrame, terms: DataFrame, task_rows: int, least_round: int) -> list[DataFrame]:
+    """(docno, terms), stored tables: the numbers of each line's terms, rarest first."""
+    total, last = terms.agg(F.sum("df"), F.max("number")).first()
+    rounds = TERM_ROUNDS if (total or 0) > least_round else 1
+    kind = "int" if (last or 0) < 1 << 31 else "bigint"
+    rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"].cast(f"array<{kind}>")
+    lists = []
+    for at in range(rounds):
+        part = lines if rounds == 1 else lines.where(F.pmod(F.xxhash64("docno"), F.lit(rounds)) == at)
+        found = part.select("docno", F.explode_outer(distinct_tokens("text")).alias("term"))
+        kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"], task_rows=task_rows)
+        lists.append(materialize(kept.groupBy("docno").agg(rising.alias("terms")), "line_terms"))
+        if rounds > 1:
+            sweep(lines.sparkSession)
+    return lists
+
+
 def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int, task_rows: int,
-                   line_terms: int = LINE_TERMS) -> DataFrame:
+                   line_terms: int = LINE_TERMS, *, least_round: int = LEAST_ROUND) -> DataFrame:
     """(a, x, df_a, b, y, df_b, n): unordered pairs of terms found in n >= min_support lines,
     with the terms' numbers.
 
@@ -54,27 +80,36 @@ def _counted_pairs(lines: DataFrame, terms: DataFrame, min_support: int, task_ro
     its partners there instead of once per pair. The rarer term of a pair owns it:
     the commoner a term, the fewer partners follow it in a line.
     """
-    found = lines.select("docno", F.explode(distinct_tokens("text")).alias("term"))
-    kept = skew_join(found, terms, ["term"], terms, weight="df", by=["docno"],
-                     task_rows=task_rows)
-    rising = F.sort_array(F.collect_list(F.struct("df", "number")))["number"]
     # Stored once: the text is cut into terms and joined to their numbers a single time.
-    lists = materialize(kept.groupBy("docno").agg(rising.alias("terms")), "line_terms")
+    parts = _line_terms(lines, terms, task_rows, least_round)
+    lists = reduce(DataFrame.unionByName, parts)
     after = F.transform("terms", lambda x, i: F.struct(x.alias("x"), (F.size("terms") - i - 1).alias("n")))
-    entries = materialize(lists.select(F.inline(after)).groupBy("x").agg(F.sum("n").alias("n")), "owners")
-    owned = _owned(lists, line_terms)
+    entries = materialize(lists.select(F.inline(after)).groupBy("x").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("lines")),
+                          "owners")
     hot = hot_keys(entries, ["x"], task_rows=task_rows)
-    # The exchange on the owner serves the count as well; only an owner whose partners
-    # fill more than a task is counted in parts first.
-    if hot is None:
-        counted = (owned.repartition("x").select("x", F.explode_outer("ys").alias("y"))
-                   .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
-    else:
-        counted = (spread_rows(owned, ["x"], ["docno"], hot).repartition("x", "salt")
-                   .select("x", "salt", F.explode_outer("ys").alias("y"))
-                   .groupBy("x", "salt", "y").agg(F.count(F.lit(1)).alias("n"))
-                   .groupBy("x", "y").agg(F.sum("n").alias("n")))
-    pairs = materialize(counted.where(F.col("n") >= min_support), "pairs", replaces=[lists, entries])
+    partners, held = entries.agg(F.sum("n"), F.sum("lines")).first()
+    rounds = max(1, ceil((partners or 0) / max(least_round, ROUND_PARTNERS * (held or 0))))
+    found = []
+    for at in range(rounds):
+        owned = _owned(lists, line_terms)
+        if rounds > 1:
+            owned = owned.where(F.pmod(F.xxhash64("x"), F.lit(rounds)) == at)
+        # The exchange on the owner serves the count as well; only an owner whose partners
+        # fill more than a task is counted in parts first.
+        if hot is None:
+            counted = (owned.repartition("x").select("x", F.explode_outer("ys").alias("y"))
+                       .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+        else:
+            counted = (spread_rows(owned, ["x"], ["docno"], hot).repartition("x", "salt")
+                       .select("x", "salt", F.explode_outer("ys").alias("y"))
+                       .groupBy("x", "salt", "y").agg(F.count(F.lit(1)).alias("n"))
+                       .groupBy("x", "y").agg(F.sum("n").alias("n")))
+        numbers = [F.col(c).cast("bigint").alias(c) for c in ("x", "y")]
+        found.append(materialize(counted.where(F.col("n") >= min_support).select(*numbers, "n"), "pairs"))
+        if rounds > 1:
+            sweep(lines.sparkSession)
+    release(*parts, entries)
+    pairs = reduce(DataFrame.unionByName, found)
     return _with_terms(pairs, terms, task_rows)
 
 

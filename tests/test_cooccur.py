@@ -76,3 +76,21 @@ def test_best_pairs(lines):
     assert rows(cooccur.max_pmi_pair(scored)) == [("a", "b", 0.223144)] and best[3] == 0.223144
     assert rows(cooccur.top_pmi_for_word(scored, ["a", "zz"], 2)) == [
         ("a", 1, "b", 0.223144), ("a", 2, "c", 0.223144)]
+
+
+def test_pairs_are_counted_in_rounds_that_keep_to_the_size_of_the_lines(many, monkeypatch):
+    data, frame = many
+    stored = []
+    keep = cooccur.materialize
+
+    def kept(df, name, *args, **options):
+        stored.append(name)
+        return keep(df, name, *args, **options)
+
+    monkeypatch.setattr(cooccur, "materialize", kept)
+    monkeypatch.setattr(cooccur, "ROUND_PARTNERS", 1)
+    terms = cooccur._frequent_terms(frame, 2)
+    pairs = cooccur._counted_pairs(frame, terms, 2, cooccur.TASK_ROWS, least_round=1)
+    assert rows(cooccur._both_orders(pairs, "n"), "a", "b", "n") == sorted(
+        ((a, b, n) for a, b, n, _ in brute(data, 2)), key=repr)
+    assert stored.count("pairs") > 1 and stored.count("line_terms") == cooccur.TERM_ROUNDS
