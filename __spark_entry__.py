@@ -22,7 +22,7 @@ from corvane.operators import (
     words,
 )
 from corvane.functions.measures import log_sum_exp
-from corvane.plans.scratch import materialize, scratch_path
+from corvane.plans.scratch import scratch_path
 from corvane.sources import ranges, sinks, tables, text
 from corvane.sources.tables import (
     key_graph,
@@ -103,6 +103,11 @@ def _index(spark: SparkSession, d: str) -> DataFrame:
     return inverted.build_inverted_index(lines(spark, d), SHARD)
 
 
+def _gap_index(spark: SparkSession, d: str) -> DataFrame:
+    index = inverted.store_index(_index(spark, d))
+    return inverted.store_index(inverted.compress_postings(index), "gaps", replaces=[index])
+
+
 def _index_rows(spark: SparkSession, d: str) -> DataFrame:
     return inverted.posting_rows(_index(spark, d))
 
@@ -292,10 +297,8 @@ def _library_queries() -> dict[str, Query]:
             F.array_join(F.transform("postings", lambda p: F.concat_ws(
                 ":", p["docno"].cast("string"), p["tf"].cast("string"))), ",").alias("postings")),
         "posting_gaps": lambda s, d: inverted.posting_gaps(
-            materialize(_index(s, d), "index")),
-        "restore_docnos": lambda s, d: inverted.restore_docnos(
-            materialize(
-                inverted.compress_postings(materialize(_index(s, d), "index")), "gaps")),
+            inverted.store_index(_index(s, d))),
+        "restore_docnos": lambda s, d: inverted.restore_docnos(_gap_index(s, d)),
         "tf_histogram": lambda s, d: inverted.tf_histogram(_index(s, d)),
         "tf_histogram_of_terms": lambda s, d: inverted.tf_histogram(_index(s, d), HISTOGRAM),
         "lookup_postings": lambda s, d: retrieval.lookup_postings(

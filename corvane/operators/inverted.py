@@ -8,7 +8,7 @@ is the term's number of documents in the whole collection; postings ascend by do
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions.measures import block_of
 from corvane.operators.words import term_frequency
-from corvane.plans.scratch import materialize
+from corvane.plans.scratch import materialize, sweep
 from corvane.plans.skew import TASK_ROWS, skew_join
 
 # Docnos of one shard: a posting row has at most that many entries, whatever docnos are.
 SPAN = 1 << 20
+NO_SHARD = -(1 << 63)
 
 
 def build_inverted_index(lines: DataFrame, span: int = SPAN, *,
@@ -29,18 +30,37 @@ def build_inverted_index(lines: DataFrame, span: int = SPAN, *,
     """(term, df, shard, postings) of the collection.
 
     The text is read once: lists are grouped by term and shard and stored, and ``df`` is
-    the sum of their sizes, joined back over one light row per list.
+    the sum of their sizes, joined back over one light row per list. Lists stay in the
+    buckets of term and shard they were grouped in; only light rows are moved to them.
     """
-    entries = term_frequency(lines).withColumn("shard", block_of("docno", span))
+    # A line without a number has no shard; its lists are joined under a number no shard has.
+    shard = F.coalesce(block_of("docno", span), F.lit(NO_SHARD).cast("bigint"))
+    entries = term_frequency(lines).withColumn("block", shard)
     lists = materialize(
-        entries.groupBy("term", "shard")
-        .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings")), "lists")
-    sizes = lists.groupBy("term").agg(F.sum(F.size("postings")).alias("df"),
-                                      F.count(F.lit(1)).alias("n"))
+        entries.groupBy("term", "block")
+        .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings")), "lists",
+        keyed_by=["term", "block"], dealt=True)
+    sweep(lines.sparkSession)
+    light = lists.select("term", "block", F.size("postings").alias("own"))
+    sizes = light.groupBy("term").agg(F.sum("own").alias("df"), F.count(F.lit(1)).alias("n"))
     sizes = materialize(sizes, "dictionary")
-    return (skew_join(lists, sizes.select("term", "df"), ["term"], sizes, by=["shard"],
-                      task_rows=task_rows)
-            .select("term", "df", "shard", "postings"))
+    each = skew_join(light.select("term", "block"), sizes.select("term", "df"), ["term"], sizes, by=["block"],
+                     task_rows=task_rows)
+    index = (lists.join(each.hint("shuffle_hash"), ["term", "block"])
+             .select("term", "df", F.nullif("block", F.lit(NO_SHARD)).alias("shard"), "postings"))
+    index.stored = [lists, sizes]
+    return index
+
+
+def store_index(index: DataFrame, name: str = "index", replaces: Sequence[DataFrame] = ()) -> DataFrame:
+    """The index in stored buckets of term and shard, which gap coding reads as they lie.
+
+    The tables it was built from and those in ``replaces`` are deleted.
+    """
+    stored = materialize(index, name, replaces=[*getattr(index, "stored", []), *replaces],
+                         keyed_by=["term", "shard"], dealt=True)
+    sweep(index.sparkSession)
+    return stored
 
 
 def posting_rows(index: DataFrame) -> DataFrame:
@@ -62,7 +82,9 @@ def _with_carry(lists: DataFrame, per_shard: Column, carry: Column) -> DataFrame
     """
     light = lists.select("term", "shard", per_shard.alias("own")).select("term", "shard",
                                                                         carry.alias("carry"))
-    return lists.join(light, ["term", "shard"])
+    # Light rows are looked up by a hash, so that lists aren't sorted, nor moved where they
+    # lie in buckets of term and shard.
+    return lists.join(light.hint("shuffle_hash"), ["term", "shard"])
 
 
 def _gap_lists(index: DataFrame) -> DataFrame:

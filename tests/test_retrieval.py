@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from conftest import rows
@@ -96,3 +97,24 @@ def test_shards_and_gaps(spark, tmp_path, task_rows):
     assert rows(inverted.posting_rows(stored), "term", "docno", "tf") == want
     assert rows(retrieval.boolean_retrieval(stored, lines, "hot a AND b OR")) == rows(
         retrieval.boolean_retrieval(index, lines, "hot a AND b OR"))
+
+
+def test_gap_coding_moves_no_lists(spark):
+    data = [(i * 3, f"a b{i % 7} c{i % 3} a") for i in range(200)] + [(None, "a z")]
+    frame = spark.createDataFrame(data, "docno BIGINT, text STRING")
+    index = inverted.build_inverted_index(frame, span=50)
+    assert {r.term for r in index.where("shard IS NULL").collect()} == {"a", "z"}
+    stored = inverted.store_index(index)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = inverted.posting_gaps(stored)._jdf.queryExecution().sparkPlan().toString()
+        ready = inverted.posting_gaps(stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The light rows are moved to their term and back to their list; the lists stay.
+    assert "SortMergeJoin" not in plan and ready.count("Exchange hashpartitioning") == 2
+    coded = inverted.store_index(inverted.compress_postings(stored), "gaps", replaces=[stored])
+    want = sorted((t, i, n) for i, text in data if i is not None
+                  for t, n in Counter(text.split()).items())
+    want.sort(key=repr)
+    assert rows(inverted.restore_docnos(coded), "term", "docno", "tf") == want
