@@ -228,7 +228,9 @@ def converged_pagerank(nodes: DataFrame, edges: DataFrame, tol: float = 1e-9, al
         pushed = state.where(active).select(F.col("id").alias("src"), "residual")
         if hot is not None:
             pushed = copy_rows(pushed, ["src"], hot)
-        messages = laid_out.join(pushed, key).select(
+        # Residuals that are all alike take little room on disk: by the size of their file they
+        # would be sent to the driver whole.
+        messages = laid_out.join(pushed.hint("shuffle_hash"), key).select(
             F.col("dst").alias("id"), F.lit(0.0).alias("score"), (F.col("residual") * F.col("w")).alias("residual"))
         held = state.select("id", F.when(active, F.col("score") + F.col("residual")).otherwise(F.col("score")).alias("score"),
                             F.when(active, F.lit(0.0)).otherwise(F.col("residual")).alias("residual"))

@@ -368,3 +368,20 @@ def test_counter_matches(random_graph):
     _, edges, _, links_ = random_graph
     got = dict(rows(links_.groupBy("dst").count()))
     assert got == Counter(d for _, d in edges)
+
+
+def test_converged_pagerank_sends_no_state_to_the_driver(spark, tmp_path, monkeypatch):
+    joins = []
+    keep = pagerank.materialize
+
+    def kept(df, name, *args, **options):
+        if name == "push":
+            joins.append(df._jdf.queryExecution().sparkPlan().toString())
+        return keep(df, name, *args, **options)
+
+    monkeypatch.setattr(pagerank, "materialize", kept)
+    nodes = spark.range(50)
+    edges = nodes.select(F.col("id").alias("src"), ((F.col("id") * 7 + 1) % 50).alias("dst"))
+    total = pagerank.converged_pagerank(nodes, edges, tol=1e-3).agg(F.sum("score")).first()[0]
+    assert abs(total - 1) < 1e-9
+    assert len(joins) > 2 and not any("BroadcastHashJoin" in plan for plan in joins)
